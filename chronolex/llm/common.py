@@ -53,9 +53,9 @@ def words(text: Column) -> Column:
     return F.filter(F.split(F.coalesce(text, F.lit("")), SPACE + "+"), lambda w: w != "")
 
 
-def fold(doc_id: Column) -> Column:
+def fold(doc_id: str) -> Column:
     """crc32 of the id as text, mod 5; rows with 0 are held out. A null id counts as the empty text."""
-    return F.crc32(F.coalesce(doc_id.cast("string"), F.lit("")).cast("binary")) % 5
+    return F.crc32(F.coalesce(F.col(doc_id).cast("string"), F.lit("")).cast("binary")) % 5
 
 
 def connected_components(edges: DataFrame, a: str = "a", b: str = "b") -> DataFrame:

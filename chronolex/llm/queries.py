@@ -3,8 +3,9 @@
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from chronolex.llm.common import table
+from chronolex.llm.common import fold, table
 
 
 def op1_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -16,5 +17,37 @@ def op1_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     return bpe.digests(table(spark, sf_dir, "documents"), tokens, public_tokenizers.PATTERN)
 
 
-QUERIES = {"op1_byte_bpe": op1_byte_bpe}
+def op3_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from chronolex.llm import langid
+
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text", "lang", (fold("doc_id") == 0).alias("held_out"))
+    model = langid.train(docs.where("not held_out"))
+    return langid.identify(docs.drop("lang"), model).drop("text")
+
+
+def op8_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from chronolex.llm import classifier
+
+    docs, labels = table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels")
+    weights = classifier.train(classifier.labelled(docs.where(fold("doc_id") != 0), labels.where(fold("doc_id") != 0)))
+    scored = classifier.score(docs.select("doc_id", "text", (fold("doc_id") == 0).alias("held_out")), weights)
+    return scored.select("doc_id", "held_out", "score", F.when(F.col("score") >= 0.3, 1).otherwise(0).alias("predicted"))
+
+
+def op9_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from pathlib import Path
+
+    import public_tokenizers
+
+    from chronolex.llm import packing
+
+    return packing.pack(table(spark, sf_dir, "documents"), Path(public_tokenizers.path("word_bpe_49k.json")).read_text())
+
+
+QUERIES = {
+    "op1_byte_bpe": op1_byte_bpe,
+    "op3_language_id": op3_language_id,
+    "op8_quality_classifier": op8_quality_classifier,
+    "op9_packing": op9_packing,
+}
 ORACLES: dict[str, str] = {}
