@@ -25,6 +25,13 @@ def op3_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     return langid.identify(docs.drop("lang"), model).drop("text")
 
 
+def op6_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from chronolex.llm import simhash
+
+    found = simhash.components(table(spark, sf_dir, "documents"))
+    return found.select("doc_id", F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"), "component_id")
+
+
 def op8_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
     from chronolex.llm import classifier
 
@@ -47,6 +54,7 @@ def op9_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES = {
     "op1_byte_bpe": op1_byte_bpe,
     "op3_language_id": op3_language_id,
+    "op6_simhash": op6_simhash,
     "op8_quality_classifier": op8_quality_classifier,
     "op9_packing": op9_packing,
 }
