@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from chronolex.llm import quality
 from chronolex.llm.common import fold, table
 
 
@@ -17,6 +18,10 @@ def op1_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     return bpe.digests(table(spark, sf_dir, "documents"), tokens, public_tokenizers.PATTERN)
 
 
+def op2_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return quality.assess(table(spark, sf_dir, "documents").select("doc_id", "text")).drop("text", "clean_text", "lost_chars")
+
+
 def op3_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     from chronolex.llm import langid
 
@@ -53,9 +58,10 @@ def op9_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES = {
     "op1_byte_bpe": op1_byte_bpe,
+    "op2_quality_rules": op2_quality_rules,
     "op3_language_id": op3_language_id,
     "op6_simhash": op6_simhash,
     "op8_quality_classifier": op8_quality_classifier,
     "op9_packing": op9_packing,
 }
-ORACLES: dict[str, str] = {}
+ORACLES: dict[str, str] = {"op2_quality_rules": quality.SQL}
