@@ -56,6 +56,12 @@ def op9_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack(table(spark, sf_dir, "documents"), Path(public_tokenizers.path("word_bpe_49k.json")).read_text())
 
 
+def op10_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from chronolex.llm import pii
+
+    return pii.digests(pii.find(table(spark, sf_dir, "documents").select("doc_id", "text")))
+
+
 QUERIES = {
     "op1_byte_bpe": op1_byte_bpe,
     "op2_quality_rules": op2_quality_rules,
@@ -63,5 +69,6 @@ QUERIES = {
     "op6_simhash": op6_simhash,
     "op8_quality_classifier": op8_quality_classifier,
     "op9_packing": op9_packing,
+    "op10_pii": op10_pii,
 }
 ORACLES: dict[str, str] = {"op2_quality_rules": quality.SQL}
