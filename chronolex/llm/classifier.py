@@ -24,7 +24,7 @@ def _hash_words(words: list[str]) -> np.ndarray:
     import xxhash
 
     global _memo
-    new = set(words) - _memo.keys()
+    new = [w for w in set(words) if w not in _memo]
     if len(_memo) + len(new) > MEMO_WORDS:
         _memo = {}
         new = set(words)
@@ -84,23 +84,25 @@ class Ftrl:
         self.n[at] += g * g
 
 
-def train(df: DataFrame, text: str = "text", label: str = "label", key: str = "doc_id", max_rows: int = 8192, epochs: int = 3) -> np.ndarray:
-    """Weights by bucket, learnt from a bounded sample of the labelled rows.
+def train(docs: DataFrame, labels: DataFrame, text: str = "text", label: str = "label", key: str = "doc_id", max_rows: int = 8192, epochs: int = 3) -> np.ndarray:
+    """Weights by bucket, learnt from the texts of a bounded sample of the labels (rows of key and a label of 0 or 1).
 
-    max_rows: the bound. Where there are more rows with a text and a label of 0 or 1, those with the lowest hashes of
-    their keys serve, of each label about half the bound (at most that and the spread of a hash). One task learns, as the
-    updates follow one another; classes weigh alike. Without any row all weights are zero.
+    max_rows: the bound. Where there are more labels, those whose keys have the lowest hashes serve, of each kind about half
+    the bound (at most that and the spread of a hash); the sample is small enough to be broadcast, so no text is shuffled. One
+    task learns, as the updates follow one another; classes weigh alike. Without any row all weights are zero.
     """
-    rows = df.where(F.col(text).isNotNull() & F.col(label).isin(0, 1)).select(
-        F.xxhash64(F.lit(17), F.coalesce(F.col(key).cast("string"), F.lit(""))).alias("at"), F.col(text).alias("text"), F.col(label).cast("int").alias("label")
+    y = labels.where(F.col(label).isin(0, 1)).select(
+        F.col(key).alias("key"), F.col(label).cast("int").alias("label"), F.xxhash64(F.lit(17), F.col(key).cast("string")).alias("at")
     )
-    counts = {r["label"]: r["n"] for r in rows.groupBy("label").agg(F.count("*").alias("n")).collect()}
+    counts = {r["label"]: r["n"] for r in y.groupBy("label").agg(F.count("*").alias("n")).collect()}
     if not counts:
         return np.zeros(BUCKETS)
     share = F.lit(0.0)
     for value, n in counts.items():
         share = F.when(F.col("label") == value, min(1.0, max_rows / 2 / n)).otherwise(share)
-    sample = rows.where(F.pmod("at", F.lit(1 << 30)) < share * float(1 << 30)).withColumn("one", F.lit(1))
+    sample = y.where(F.pmod("at", F.lit(1 << 30)) < share * float(1 << 30)).withColumn("one", F.lit(1))
+    texts = docs.where(F.col(text).isNotNull()).select(F.col(key).alias("key"), F.col(text).alias("text"))
+    sample = texts.join(F.broadcast(sample), "key").select("at", "text", "label", "one")
     heavy = {v: sum(counts.values()) / len(counts) / n for v, n in counts.items()}
 
     def hashed(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
@@ -154,7 +156,6 @@ def score(df: DataFrame, weights: np.ndarray, text: str = "text", out: str = "sc
     return df.mapInArrow(run, T.StructType([*df.schema.fields, T.StructField(out, T.DoubleType())]))
 
 
-def labelled(docs: DataFrame, labels: DataFrame) -> DataFrame:
-    """Texts with the quality label of their id. Of several labels for an id the lowest holds; ids and labels that are null don't count."""
-    y = labels.where("doc_id is not null and quality is not null").groupBy("doc_id").agg(F.min("quality").alias("label"))
-    return docs.select("doc_id", "text").join(y, "doc_id")
+def quality_labels(labels: DataFrame) -> DataFrame:
+    """One label for each id: of several the lowest; ids and labels that are null don't count."""
+    return labels.where("doc_id is not null and quality is not null").groupBy("doc_id").agg(F.min("quality").alias("label"))
