@@ -30,6 +30,12 @@ def op3_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     return langid.identify(docs.drop("lang"), model).drop("text")
 
 
+def op4_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from chronolex.llm import substrings
+
+    return substrings.repeats(table(spark, sf_dir, "documents"))
+
+
 def op6_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     from chronolex.llm import simhash
 
@@ -41,7 +47,7 @@ def op8_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
     from chronolex.llm import classifier
 
     docs, labels = table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels")
-    weights = classifier.train(classifier.labelled(docs.where(fold("doc_id") != 0), labels.where(fold("doc_id") != 0)))
+    weights = classifier.train(docs, classifier.quality_labels(labels.where(fold("doc_id") != 0)))
     scored = classifier.score(docs.select("doc_id", "text", (fold("doc_id") == 0).alias("held_out")), weights)
     return scored.select("doc_id", "held_out", "score", F.when(F.col("score") >= 0.3, 1).otherwise(0).alias("predicted"))
 
@@ -66,6 +72,7 @@ QUERIES = {
     "op1_byte_bpe": op1_byte_bpe,
     "op2_quality_rules": op2_quality_rules,
     "op3_language_id": op3_language_id,
+    "op4_substring_dedup": op4_substring_dedup,
     "op6_simhash": op6_simhash,
     "op8_quality_classifier": op8_quality_classifier,
     "op9_packing": op9_packing,
