@@ -43,6 +43,13 @@ def op6_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("doc_id", F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"), "component_id")
 
 
+def op7_html_extraction(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from chronolex.llm import wrappers
+
+    found = wrappers.extract(table(spark, sf_dir, "pages").select("page_id", "url", "html"))
+    return found.select("page_id", "url", "text", F.length("text").cast("long").alias("n_chars"))
+
+
 def op8_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
     from chronolex.llm import classifier
 
@@ -74,6 +81,7 @@ QUERIES = {
     "op3_language_id": op3_language_id,
     "op4_substring_dedup": op4_substring_dedup,
     "op6_simhash": op6_simhash,
+    "op7_html_extraction": op7_html_extraction,
     "op8_quality_classifier": op8_quality_classifier,
     "op9_packing": op9_packing,
     "op10_pii": op10_pii,
