@@ -91,10 +91,10 @@ class Codec:
 
     def encode(self, texts: list[str]) -> list[bytes]:
         lists = [self.split(t) for t in texts]
-        need = set().union(*lists) - self.memo.keys()
+        need = [w for w in set().union(*lists) if w not in self.memo]
         extra = {}
         if need:
-            learnt = self._learn(list(need))
+            learnt = self._learn(need)
             if len(self.memo) + len(learnt) > MEMO_WORDS:
                 extra, self.memo = self.memo, {}
                 self.memo.update((w, x) for w, x in learnt.items() if len(w) <= MEMO_CHARS)

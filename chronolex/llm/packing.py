@@ -17,6 +17,8 @@ from chronolex.llm.common import checkpoint
 #: Words that a Python worker remembers with their ids, and the longest that it remembers.
 MEMO_WORDS, MEMO_CHARS = 400_000, 64
 CHUNK = 256
+#: Closing marks that are cut from words.
+MARKS = b".,;:!?#%$*&|)"
 #: Partitions whose leftovers one task merges.
 FAN_IN = 32
 
@@ -36,26 +38,51 @@ class WordTokenizer:
         self.model = Tokenizer.from_str(spec)
         self.model.encode_special_tokens = True  # their strings in a text are ordinary text
         self.memo: dict[bytes, bytes] = {}
+        self.stems: dict[bytes, bytes] = {}
+
+    def _ids(self, parts: list[bytes]) -> None:
+        coded = self.model.encode_batch_fast([w.decode() for w in parts], add_special_tokens=False)
+        self.stems.update((w, np.array(x.ids, "<u4").tobytes()) for w, x in zip(parts, coded))
+
+    def _learn(self, new: list[bytes]) -> dict[bytes, bytes]:
+        """Ids of words, each cut into a stem and closing marks, where a cut between tokens is sure.
+
+        The tokenizer cuts between a letter or digit and marks that follow, none of which is an apostrophe here, and
+        it takes ASCII capitals as small letters.
+        """
+        cut = {}
+        for w in new:
+            stem = w.rstrip(MARKS)
+            last = stem[-1:]
+            if stem and (last.isalnum() or last >= b"\x80" and stem[-4:].decode(errors="ignore")[-1:].isalpha()):
+                cut[w] = (stem.lower(), w[len(stem) :])
+            else:
+                cut[w] = (w, b"")
+        parts = {p for pair in cut.values() for p in pair if p}
+        if len(self.stems) > MEMO_WORDS:
+            self.stems = {}
+        self._ids([p for p in parts if p not in self.stems])
+        stems = self.stems
+        stems[b""] = b""
+        learnt = {w: stems[a] + stems[b] for w, (a, b) in cut.items()}
+        for p in parts:
+            if len(p) > MEMO_CHARS:
+                stems.pop(p, None)
+        return learnt
 
     def encode(self, texts: list[str]) -> list[bytes]:
         lists = [t.encode().split() for t in texts]
-        new = list(set().union(*lists) - self.memo.keys())
-        get = self.memo.__getitem__
+        memo = self.memo
+        new = [w for w in set().union(*lists) if w not in memo]
         if new:
-            coded = self.model.encode_batch_fast([w.decode() for w in new], add_special_tokens=False)
-            learnt = {w: np.array(x.ids, "<u4").tobytes() for w, x in zip(new, coded)}
-            get = (self.memo | learnt).__getitem__ if len(learnt) > 50_000 or len(self.memo) > MEMO_WORDS else None
-            if get is None:
-                self.memo.update(learnt)
-                get = self.memo.__getitem__
-            out = [b"".join(map(get, ws)) for ws in lists]
-            if len(self.memo) > MEMO_WORDS:
-                self.memo = {}
-            for w in new:
-                if len(w) > MEMO_CHARS:
-                    self.memo.pop(w, None)
-            return out
-        return [b"".join(map(get, ws)) for ws in lists]
+            memo.update(self._learn(new))
+        out = [b"".join(map(memo.__getitem__, ws)) for ws in lists]
+        if len(memo) > MEMO_WORDS:
+            self.memo = {}
+        for w in new:
+            if len(w) > MEMO_CHARS:
+                memo.pop(w, None)
+        return out
 
 
 _tokenizer: dict = {}

@@ -36,6 +36,12 @@ def op4_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return substrings.repeats(table(spark, sf_dir, "documents"))
 
 
+def op5_embedding_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from chronolex.llm import embeddings
+
+    return embeddings.components(table(spark, sf_dir, "embeddings"))
+
+
 def op6_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     from chronolex.llm import simhash
 
@@ -80,6 +86,7 @@ QUERIES = {
     "op2_quality_rules": op2_quality_rules,
     "op3_language_id": op3_language_id,
     "op4_substring_dedup": op4_substring_dedup,
+    "op5_embedding_dedup": op5_embedding_dedup,
     "op6_simhash": op6_simhash,
     "op7_html_extraction": op7_html_extraction,
     "op8_quality_classifier": op8_quality_classifier,
