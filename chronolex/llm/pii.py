@@ -189,3 +189,12 @@ def redact(text: Column, spans: Column) -> Column:
     by_place = F.array_sort(F.transform(spans, lambda x: F.struct(x["start"].alias("start"), x["end"].alias("end"), x["kind"].alias("kind"))))
     done = F.aggregate(by_place, F.struct(F.lit(0).alias("at"), F.lit("").alias("out")), step, lambda acc: F.concat(acc["out"], F.substring(text, acc["at"] + 1, F.length(text))))
     return F.when(F.size(spans) > 0, done).otherwise(text)
+
+
+def redact_documents(df: DataFrame, text: str = "text") -> DataFrame:
+    """The documents with redacted texts; n_chars (if there is one) follows the text where that changes. A null text stays."""
+    found = find(df, text, keep=df.columns)
+    out = found.withColumn(text, redact(F.col(text), F.col("spans")))
+    if "n_chars" in df.columns:
+        out = out.withColumn("n_chars", F.when(F.size("spans") > 0, F.length(text)).otherwise(F.col("n_chars")).cast(df.schema["n_chars"].dataType))
+    return out.select(df.columns)
