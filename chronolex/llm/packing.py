@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import bisect
+import json
 import os
 import zlib
 from collections.abc import Callable, Iterator
@@ -15,7 +16,7 @@ from pyspark.sql import functions as F
 from chronolex.llm.common import checkpoint
 
 #: Words that a Python worker remembers with their ids, and the longest that it remembers.
-MEMO_WORDS, MEMO_CHARS = 400_000, 64
+MEMO_WORDS, MEMO_CHARS = 1_000_000, 64
 CHUNK = 256
 #: Closing marks that are cut from words.
 MARKS = b".,;:!?#%$*&|)"
@@ -37,12 +38,27 @@ class WordTokenizer:
 
         self.model = Tokenizer.from_str(spec)
         self.model.encode_special_tokens = True  # their strings in a text are ordinary text
+        end = json.loads(spec)["model"].get("end_of_word_suffix") or "\0"
+        self.closes = np.zeros(max(self.model.get_vocab().values()) + 1, bool)
+        self.closes[[i for t, i in self.model.get_vocab().items() if t.endswith(end)]] = True
         self.memo: dict[bytes, bytes] = {}
         self.stems: dict[bytes, bytes] = {}
 
     def _ids(self, parts: list[bytes]) -> None:
-        coded = self.model.encode_batch_fast([w.decode() for w in parts], add_special_tokens=False)
-        self.stems.update((w, np.array(x.ids, "<u4").tobytes()) for w, x in zip(parts, coded))
+        """Learn the ids of parts. Those of letters alone are one word each, so many are encoded as one text and told apart by
+        the tokens that end a word."""
+        text = [w.decode() for w in parts]
+        letters = [t for t in text if t.isalpha()]
+        coded = self.model.encode(" ".join(letters), add_special_tokens=False).ids if letters else []
+        ids = np.array(coded, "<u4")
+        ends = np.flatnonzero(self.closes[ids]) + 1
+        if len(ends) == len(letters):
+            raw = ids.tobytes()
+            stops = (4 * ends).tolist()
+            self.stems.update(zip([t.encode() for t in letters], map(raw.__getitem__, map(slice, [0, *stops], stops))))
+            text = [t for t in text if not t.isalpha()]
+        for t, x in zip(text, self.model.encode_batch_fast(text, add_special_tokens=False)):
+            self.stems[t.encode()] = np.array(x.ids, "<u4").tobytes()
 
     def _learn(self, new: list[bytes]) -> dict[bytes, bytes]:
         """Ids of words, each cut into a stem and closing marks, where a cut between tokens is sure.
@@ -50,28 +66,28 @@ class WordTokenizer:
         The tokenizer cuts between a letter or digit and marks that follow, none of which is an apostrophe here, and
         it takes ASCII capitals as small letters.
         """
-        cut = {}
+        cut = []
         for w in new:
             stem = w.rstrip(MARKS)
-            last = stem[-1:]
-            if stem and (last.isalnum() or last >= b"\x80" and stem[-4:].decode(errors="ignore")[-1:].isalpha()):
-                cut[w] = (stem.lower(), w[len(stem) :])
+            if len(stem) < len(w) and stem and (stem[-1:].isalnum() or stem[-1] >= 128 and stem[-4:].decode(errors="ignore")[-1:].isalpha()):
+                cut.append((stem, w[len(stem) :]))
             else:
-                cut[w] = (w, b"")
-        parts = {p for pair in cut.values() for p in pair if p}
+                cut.append((w, b""))
+        parts = {p for pair in cut for p in pair}
+        parts.discard(b"")
         if len(self.stems) > MEMO_WORDS:
             self.stems = {}
         self._ids([p for p in parts if p not in self.stems])
         stems = self.stems
         stems[b""] = b""
-        learnt = {w: stems[a] + stems[b] for w, (a, b) in cut.items()}
+        learnt = {w: stems[a] + stems[b] for w, (a, b) in zip(new, cut)}
         for p in parts:
             if len(p) > MEMO_CHARS:
                 stems.pop(p, None)
         return learnt
 
     def encode(self, texts: list[str]) -> list[bytes]:
-        lists = [t.encode().split() for t in texts]
+        lists = [t.encode().lower().split() for t in texts]  # A-Z only, which the tokenizer does as well
         memo = self.memo
         new = [w for w in set().union(*lists) if w not in memo]
         if new:
