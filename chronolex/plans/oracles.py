@@ -127,7 +127,7 @@ ORACLES = {
     "topic_keys_topn": "SELECT n_nationkey AS topic, array_to_string(string_split(n_name || ' a b c', ' ')[1:3], ' ') AS words FROM nation WHERE n_nationkey % 5 <> 4",
     "text_last_wins": "SELECT 'src' || (doc_id % 20) || '-1900-01-01-a-i' || lpad((doc_id % 400)::VARCHAR, 4, '0') AS ci_ref, arg_max(left(text, 40), doc_id) AS original_text FROM documents GROUP BY ALL",
     "topic_id_coalesce": "SELECT CASE n_nationkey % 3 WHEN 0 THEN 'i' WHEN 1 THEN 't' ELSE '' END || n_nationkey AS topic_id, lower(n_name) || ' w' || n_nationkey AS words FROM nation",
-    "collection_filter": "SELECT r_name || '/' || n_name AS name FROM nation JOIN region ON n_regionkey = r_regionkey WHERE r_name || '/' || n_name GLOB 'A*/*A?'",
+    "collection_filter": "SELECT r_name || '/' || n_name AS name FROM nation JOIN region ON n_regionkey = r_regionkey WHERE r_name || '/' || n_name GLOB 'A*/*'",
     "lemma_freq": f"{C} SELECT lang, lemma, freq FROM freqs",
     "char_freq": f"{C} SELECT lang, ch, sum(freq)::BIGINT AS freq FROM (SELECT lang, freq, unnest(string_split(lemma, '')) AS ch FROM freqs) WHERE ch <> '' GROUP BY ALL",
     "normalize_lemma": f"{C} SELECT t, {_norm('t')} AS norm FROM (SELECT DISTINCT t FROM tok)",

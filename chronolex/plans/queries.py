@@ -100,7 +100,7 @@ def topic_id_coalesce(spark: SparkSession, d: str) -> DataFrame:
 def collection_filter(spark: SparkSession, d: str) -> DataFrame:
     n, r = td.table(spark, d, "nation"), td.table(spark, d, "region")
     names = n.join(F.broadcast(r), n["n_regionkey"] == r["r_regionkey"]).select(F.concat_ws("/", "r_name", "n_name").alias("name"))
-    return readers.collections(names, "A*/*A?")
+    return readers.collections(names, "A*/*")
 
 
 # Vocabulary
