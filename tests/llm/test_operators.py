@@ -65,6 +65,15 @@ def test_substrings(spark, docs):
     assert substrings.repeats(docs.limit(0)).count() == 0
 
 
+def test_substrings_behind_quotes(spark):
+    passage = [f"shared{i}" for i in range(50)]
+    fill = lambda n, k: [f"own{n}x{i}" for i in range(k)]
+    quotes = lambda n: fill(n, 60) + passage[:40] + fill(n + 10, 60) + passage[10:] + fill(n + 20, 60)
+    rows = [(1, quotes(100)), (2, fill(200, 20) + passage + fill(210, 20)), (3, quotes(300)), (4, fill(400, 30) + passage + fill(410, 30))]
+    got = {tuple(r) for r in substrings.repeats(spark.createDataFrame([(i, " ".join(w)) for i, w in rows], "doc_id long, text string")).collect()}
+    assert got == {(2, 20, 70, False, 2), (4, 30, 80, True, 2)}
+
+
 def test_embeddings(spark):
     rng = np.random.default_rng(1)
     base = rng.normal(size=(30, 8))
