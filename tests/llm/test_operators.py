@@ -74,6 +74,24 @@ def test_substrings_behind_quotes(spark):
     assert got == {(2, 20, 70, False, 2), (4, 30, 80, True, 2)}
 
 
+def test_substrings_near_duplicates(spark):
+    """At the threshold, one word of 50 changed, three hash functions and a second partner find what two functions and the leader miss."""
+    rows = []
+    for i in range(300):
+        passage = [f"p{i}x{j}" for j in range(50)]
+        for d in range(2):
+            own = [f"own{i}d{d}x{j}" for j in range(60)]
+            rows.append((2 * i + d, " ".join(own + passage[:25] + ["changed" if d else passage[25]] + passage[26:] + own[::-1])))
+    found = {r["doc_id"] for r in substrings.repeats(spark.createDataFrame(rows, "doc_id long, text string")).where("is_copy").collect()}
+    assert len(found) >= 0.98 * 300
+    passage = [f"near{j}" for j in range(60)]
+    own = lambda n: [f"o{n}x{j}" for j in range(60)]
+    rows = [(1, own(1) + passage[:40] + own(2) + passage[20:] + own(3))]
+    rows += [(n, own(4 * n) + passage[:30] + [f"new{n}"] + passage[31:] + own(4 * n + 1)) for n in (2, 3)]
+    got = substrings.repeats(spark.createDataFrame([(i, " ".join(w)) for i, w in rows], "doc_id long, text string")).where("is_copy").collect()
+    assert [(r["doc_id"], r["ref_doc_id"]) for r in got] == [(3, 2)]
+
+
 def test_embeddings(spark):
     rng = np.random.default_rng(1)
     base = rng.normal(size=(30, 8))
