@@ -92,6 +92,13 @@ def test_substrings_near_duplicates(spark):
     assert [(r["doc_id"], r["ref_doc_id"]) for r in got] == [(3, 2)]
 
 
+def test_substrings_far_places(spark):
+    passage, far = " ".join(f"shared{i}" for i in range(60)), (1 << 21) + 7
+    rows = [(1, "before " + passage + " after"), (2, " ".join(map(str, range(far))) + " " + passage)]
+    got = {tuple(r) for r in substrings.repeats(spark.createDataFrame(rows, "doc_id long, text string")).collect()}
+    assert got == {(1, 1, 61, False, 1), (2, far, far + 60, True, 1)}
+
+
 def test_embeddings(spark):
     rng = np.random.default_rng(1)
     base = rng.normal(size=(30, 8))
