@@ -78,7 +78,7 @@ def topic_keys_topn(spark: SparkSession, d: str) -> DataFrame:
 def _texts(spark: SparkSession, d: str) -> DataFrame:
     docs = td.table(spark, d, "documents")
     name = F.concat(F.lit("in/src"), (F.col("doc_id") % 20).cast("string"), F.lit("-1900-01-01-a-i"), F.lpad((F.col("doc_id") % 400).cast("string"), 4, "0"), F.lit(".txt"))
-    return docs.select(name.alias("id"), F.left("text", F.lit(40)).alias("text"), F.col("doc_id").alias("line"))
+    return docs.select(name.alias("id"), "text", F.col("doc_id").alias("line"))
 
 
 @query
@@ -432,8 +432,7 @@ def assign_sorted(spark: SparkSession, d: str) -> DataFrame:
 
 @query
 def join_left_text(spark: SparkSession, d: str) -> DataFrame:
-    texts = _texts(spark, d).where("line % 3 > 0")
-    return assign.with_texts(_assigned(spark, d), texts).select("ci_ref", "original_text")
+    return assign.with_texts(_assigned(spark, d), _texts(spark, d)).select("ci_ref", "original_text")
 
 
 @query
