@@ -28,25 +28,26 @@ def _join(c, sep=" "):
 
 @query
 def scan_corpus(spark: SparkSession, d: str) -> DataFrame:
-    docs = td.table(spark, d, "documents").select("doc_id", td.ci_id(F.col("doc_id"), F.col("source")).alias("c"))
-    k, c = F.col("doc_id") % 10, F.col("c")
+    docs = td.corpus(spark, d, keep=("doc_id",))
+    k, c = F.col("doc_id") % 10, F.col("ci_id")
+    whole = lambda **of: F.to_json(F.struct(*[v.alias(n) for n, v in of.items()], "sents", "tsents"))
     line = (
-        F.when(k == 3, F.concat(F.lit('{"ci_id":"'), c))
+        F.when(k == 3, F.expr("left(line, length(line) - 1)"))
         .when(k == 4, "")
-        .when(k == 5, F.concat(F.lit('{"id":"'), c, F.lit('"}')))
-        .when(k == 6, '{"ci_id":""}')
-        .otherwise(F.concat(F.lit('{"ci_id":"'), c, F.lit('","sents":[{"lg":"fr","tok":[{"t":"Le"}]}]}')))
+        .when(k == 5, whole(id=c))
+        .when(k == 6, whole(ci_id=F.lit("")))
+        .otherwise(F.col("line"))
     )
-    parsed = readers.parse_lingproc(docs.select("doc_id", line.alias("value")))
+    parsed = readers.parse_lingproc(docs.withColumn("line", whole(ci_id=c)).select("doc_id", line.alias("value")))
     return parsed.select("doc_id", "ci_id", "status", F.coalesce(F.size("doc.sents"), F.lit(0)).cast("long").alias("sentences")).withColumn(
         "sentences", F.greatest("sentences", F.lit(0))
     )
 
 
 def _eligible_lines(spark: SparkSession, d: str) -> DataFrame:
-    docs = td.table(spark, d, "documents").select("doc_id", td.ci_id(F.col("doc_id"), F.col("source")).alias("c"), F.split("text", "\n")[0].alias("first"))
+    docs = td.table(spark, d, "documents").select("doc_id", td.ci_id(F.col("doc_id"), F.col("source")).alias("c"), F.translate(F.coalesce("text", F.lit("")), "\n", " ").alias("words"))
     k = F.col("doc_id") % 10
-    line = F.when(k == 3, F.concat_ws("\t", "c", F.lit("x"))).when(k == 4, "").otherwise(F.concat_ws("\t", "c", F.lit("DUMMY"), "first"))
+    line = F.when(k == 3, F.concat_ws("\t", "c", F.lit("x"))).when(k == 4, "").otherwise(F.concat_ws("\t", "c", F.lit("DUMMY"), "words"))
     return docs.select("doc_id", line.alias("value"))
 
 

@@ -44,7 +44,7 @@ def ci_id(doc: Column, source: Column) -> Column:
     return F.concat_ws("-", source, year, two(1 + doc % 12), two(1 + doc % 28), F.concat(F.lit("a-i"), F.lpad((doc % 10000).cast("string"), 4, "0")))
 
 
-def corpus(spark: SparkSession, d: str) -> DataFrame:
+def corpus(spark: SparkSession, d: str, keep: tuple = ()) -> DataFrame:
     """Annotated documents: a line is a sentence, the first line the title, a word between blanks a token."""
 
     def token(t: Column) -> Column:
@@ -59,6 +59,7 @@ def corpus(spark: SparkSession, d: str) -> DataFrame:
 
     docs = table(spark, d, "documents").select("doc_id", "lang", ci_id(F.col("doc_id"), F.col("source")).alias("ci_id"), F.split(F.coalesce("text", F.lit("")), "\n").alias("lines"))
     return docs.select(
+        *keep,
         "ci_id",
         "lang",
         F.transform(F.slice("lines", 2, F.greatest(F.size("lines") - 1, F.lit(0))), sentence).alias("sents"),
