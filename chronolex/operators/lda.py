@@ -27,8 +27,9 @@ def weights(model: LDAModel, vocab: list[str], n: int | None = None) -> DataFram
     """Rows (topic, word, weight), the n heaviest words of each topic (default: all)."""
     topics = model.describeTopics(n or len(vocab))
     pairs = F.explode(F.arrays_zip("termIndices", "termWeights")).alias("x")
-    words = F.array(*[F.lit(w) for w in vocab])
-    return topics.select("topic", pairs).select("topic", F.get(words, F.col("x.termIndices")).alias("word"), F.col("x.termWeights").alias("weight"))
+    words = topics.sparkSession.createDataFrame(list(enumerate(vocab)), "place int, word string")
+    rows = topics.select("topic", pairs).select("topic", F.col("x.termIndices").alias("place"), F.col("x.termWeights").alias("weight"))
+    return rows.join(words, "place").select("topic", "word", "weight")
 
 
 def infer(model: LDAModel, vectors: DataFrame) -> DataFrame:

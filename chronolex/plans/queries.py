@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -480,12 +482,19 @@ def label_summary(spark: SparkSession, d: str) -> DataFrame:
 # Topic models: no SQL
 
 
-def _model_input(spark: SparkSession, d: str):
-    texts = _eligible(spark, d).where("lang = 'en'").select("ci_id", "lemmas")
-    freqs = docfreq.document_frequencies(texts)
-    # The model's vocabulary has a fixed size, so it fits the driver at any scale.
-    words = [r["lemma"] for r in freqs.orderBy(F.desc("total_frequency"), "lemma").limit(500).collect()]
-    return lda.vectorizer(words).transform(texts), words
+def _model_inputs(spark: SparkSession, d: str) -> list[tuple]:
+    """The language, the vectors of its texts and its whole vocabulary, for each language with eligible texts."""
+    texts = _eligible(spark, d).select("ci_id", "lang", "lemmas").persist()
+    words: dict[str, list[str]] = {}
+    for r in vocabulary(spark, d).orderBy("lang", "lemma").collect():
+        words.setdefault(r["lang"], []).append(r["lemma"])
+    langs = sorted(r["lang"] for r in texts.select("lang").distinct().collect())
+    return [(x, lda.vectorizer(words[x]).transform(texts.where(F.col("lang") == x)), words[x]) for x in langs]
+
+
+def _union(parts: list[tuple]) -> DataFrame:
+    """The frames of all languages, with the language."""
+    return reduce(DataFrame.unionByName, [rows.withColumn("lang", F.lit(x)) for x, rows in parts])
 
 
 @query
@@ -496,40 +505,38 @@ def bow_counts(spark: SparkSession, d: str) -> DataFrame:
 
 @query
 def count_vector(spark: SparkSession, d: str) -> DataFrame:
-    from pyspark.ml.functions import vector_to_array
+    """Counts at places in the language's sorted vocabulary; dense rows would grow with the vocabulary."""
+    parts = [(x, vectors.select("ci_id", F.unwrap_udt("features").alias("f"))) for x, vectors, _ in _model_inputs(spark, d)]
+    return _union(parts).select("ci_id", "lang", "f.size", "f.indices", F.col("f.values").alias("counts"))
 
-    vectors, _ = _model_input(spark, d)
-    return vectors.select("ci_id", vector_to_array("features").alias("counts"))
 
-
-def _model(spark: SparkSession, d: str):
-    vectors, words = _model_input(spark, d)
-    vectors = vectors.select("ci_id", "features").persist()
-    return lda.train(vectors, 5, 5), vectors, words
+def _models(spark: SparkSession, d: str) -> list[tuple]:
+    return [(x, lda.train(vectors.select("ci_id", "features"), 5, 5), vectors, words) for x, vectors, words in _model_inputs(spark, d)]
 
 
 @query
 def lda_topics(spark: SparkSession, d: str) -> DataFrame:
-    model, _, words = _model(spark, d)
-    return describe.descriptions(lda.weights(model, words, 10).withColumnsRenamed({"weight": "prob"}).withColumn("rank", -F.col("prob")))
+    def described(model, words):
+        return describe.descriptions(lda.weights(model, words, 10).withColumnsRenamed({"weight": "prob"}).withColumn("rank", -F.col("prob")))
+
+    return _union([(x, described(model, words)) for x, model, _, words in _models(spark, d)])
 
 
 @query
 def lda_weights(spark: SparkSession, d: str) -> DataFrame:
-    model, _, words = _model(spark, d)
-    return lda.weights(model, words)
+    return _union([(x, lda.weights(model, words)) for x, model, _, words in _models(spark, d)])
 
 
 @query
 def lda_doc_topics(spark: SparkSession, d: str) -> DataFrame:
-    model, vectors, _ = _model(spark, d)
-    return lda.infer(model, vectors)
+    return _union([(x, lda.infer(model, vectors)) for x, model, vectors, _ in _models(spark, d)])
 
 
 @query
 def lda_infer(spark: SparkSession, d: str) -> DataFrame:
-    """A model of some documents, applied to others."""
-    vectors, _ = _model_input(spark, d)
+    """A model of some documents of each language, applied to others."""
     train = F.pmod(F.xxhash64("ci_id"), F.lit(2)) == 0
-    model = lda.train(vectors.where(train).persist(), 5, 5)
-    return lda.infer(model, vectors.where(~train))
+    parts = []
+    for x, vectors, _ in _model_inputs(spark, d):
+        parts.append((x, lda.infer(lda.train(vectors.where(train).select("ci_id", "features"), 5, 5), vectors.where(~train))))
+    return _union(parts)
