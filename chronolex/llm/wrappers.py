@@ -5,9 +5,11 @@ from __future__ import annotations
 import html
 import json
 import re
+from collections import Counter
 from collections.abc import Iterator
 
 import pandas as pd
+import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -15,6 +17,10 @@ from pyspark.sql import types as T
 CHUNK = 256
 #: Wrappers of one host that a task of the first round of merging gets come from one in so many partitions.
 SALTS = 64
+#: A text is a host's own, not an article's, if it stands at the same path on more than half of its pages and on so many at least.
+FIXED_PAGES = 3
+#: Distinct texts of hosts that a task counts before it sends them on.
+COUNTED = 500_000
 #: Bytes of all hosts' decisions up to which they are broadcast; beyond, they are joined by host.
 BROADCAST_BYTES = 8_000_000
 #: Elements of HTML by kind.
@@ -38,6 +44,10 @@ TOKEN = re.compile(r"<!--.*?(?:-->|\Z)|<[!?][^>]*(?:>|\Z)|<(/?)([a-zA-Z][a-zA-Z0
 ATTRIBUTE = re.compile(r"\b(class|id|role)\s*=\s*(?:\"([^\"]*)\"|'([^']*)'|([^\s>]+))", re.I)
 
 
+#: Numbers in class, id or role that may be a page's, as in post-17: they count as 0, so that pages have the same labels.
+PAGE_NUMBER = re.compile(r"[0-9]{2,}|(?<=[-_])[0-9]+")
+
+
 class Node:
     __slots__ = ("kids", "mark", "tag")
 
@@ -85,7 +95,7 @@ def parse(page: str) -> Node:
                     break
                 if stack[k].tag in bounds:
                     break
-        mark = " ".join(a or b or c for _, a, b, c in ATTRIBUTE.findall(m[3])) if "=" in m[3] else ""
+        mark = PAGE_NUMBER.sub("0", " ".join(a or b or c for _, a, b, c in ATTRIBUTE.findall(m[3]))) if "=" in m[3] else ""
         node = Node(tag, mark)
         stack[-1].kids.append(node)
         if tag in RAW:
@@ -105,7 +115,7 @@ def parse(page: str) -> Node:
 
 
 # A wrapper is a nested list [label, flags, kids]; flags: 1 optional, 2 repeated, 4 a text slot. A text is ["#text", flags,
-# value, chars, times]: a fixed value, or null for a slot.
+# value, chars, times]: the hash of a fixed value, or null for a slot.
 
 
 def _fold(items: list) -> list:
@@ -133,14 +143,31 @@ def _fold(items: list) -> list:
     return out
 
 
-def generalise(node: Node) -> list:
-    """A page's tree as a wrapper of this page."""
+def text_key(path: str, text: str) -> int:
+    """A hash of a text and the labels above it, zero excepted."""
+    return xxhash.xxh64_intdigest(f"{path}\0{text.strip()}") >> 1 or 1
+
+
+def text_keys(node: Node, path: str = "") -> set[int]:
+    """The keys of a page's texts, without what is never part of an article."""
+    out: set[int] = set()
+    for k in node.kids:
+        if isinstance(k, Node):
+            if not k.beside:
+                out |= text_keys(k, f"{path}/{k.label}")
+        elif k.strip():
+            out.add(text_key(path, k))
+    return out
+
+
+def generalise(node: Node, fixed: frozenset = frozenset(), path: str = "") -> list:
+    """A page's tree as a wrapper of this page; texts whose keys are in fixed have no weight."""
     kids = []
     for k in node.kids:
         if isinstance(k, Node):
-            kids.append(generalise(k))
+            kids.append(generalise(k, fixed, f"{path}/{k.label}"))
         elif k.strip():
-            kids.append(["#text", 0, k.strip()[:80], len(k), 1])
+            kids.append(["#text", 0, xxhash.xxh64_intdigest(k.strip()), 0 if fixed and text_key(path, k) in fixed else len(k), 1])
     return [node.label, 0, _fold(kids)]
 
 
@@ -181,7 +208,7 @@ def _beside(label: str) -> bool:
 
 
 def _weight(w: list) -> int:
-    """Characters in the slots and texts below, without what is never part of an article."""
+    """Characters of the texts below that aren't the host's own, without what is never part of an article."""
     if w[0] == "#text":
         return w[3]
     return 0 if _beside(w[0]) else sum(_weight(k) for k in w[2])
@@ -219,8 +246,8 @@ def main_path(wrapper: list) -> list[str]:
     return path
 
 
-def blocks(node: Node) -> list[str]:
-    """The texts of the blocks below a node, in order, without what is never part of an article."""
+def blocks(node: Node, fixed: frozenset = frozenset(), path: str = "") -> list[str]:
+    """The texts of the blocks below a node at a path, in order, without fixed ones and what is never part of an article."""
     out: list[str] = []
     parts: list[str] = []
 
@@ -230,10 +257,10 @@ def blocks(node: Node) -> list[str]:
             out.append(text)
         parts.clear()
 
-    def walk(n: Node) -> None:
+    def walk(n: Node, path: str) -> None:
         for k in n.kids:
             if isinstance(k, str):
-                parts.append(k)
+                parts.append(" " if fixed and text_key(path, k) in fixed else k)
             elif k.tag in ("br", "wbr", "img"):
                 parts.append(" " if k.tag == "br" else "")
             elif k.beside:
@@ -242,37 +269,69 @@ def blocks(node: Node) -> list[str]:
                 flush()
             elif k.tag in BLOCK:
                 flush()
-                walk(k)
+                walk(k, f"{path}/{k.label}")
                 flush()
             else:
-                walk(k)
+                walk(k, f"{path}/{k.label}")
 
-    walk(node)
+    walk(node, path)
     flush()
     return out
 
 
-def main_text(page: str | None, path: list[str] | None) -> str:
-    """The text of the elements at a path; without a path, or where a page lacks it, by the page's own wrapper."""
+def main_text(page: str | None, path: list[str] | None, fixed: frozenset = frozenset()) -> str:
+    """The text of the elements at a path; without a path, or where a page lacks it, by the page's own wrapper.
+
+    A page of nothing but fixed texts keeps them.
+    """
     if not page:
         return ""
     root = parse(page)
-    found = [root] if path else []
-    for label in path or []:
-        found = [k for n in found for k in n.kids if isinstance(k, Node) and k.label == label]
-    if not found:
+
+    def at(labels: list[str]) -> list[Node]:
         found = [root]
-        for label in main_path(generalise(root)):
+        for label in labels:
             found = [k for n in found for k in n.kids if isinstance(k, Node) and k.label == label]
-    return "\n".join(b for n in found for b in blocks(n))
+        return found
+
+    found = at(path) if path else []
+    if not found:
+        path = main_path(generalise(root, fixed))
+        found = at(path)
+    above = "".join(f"/{label}" for label in path)
+    text = "\n".join(b for n in found for b in blocks(n, fixed, above))
+    return text if text or not fixed else main_text(page, path)
 
 
 def host_of(url: str):
     return F.coalesce(F.regexp_extract(F.lower(F.col(url)), r"^[a-z][a-z0-9+.-]*://([^/?#:]*)", 1), F.lit(""))
 
 
-def infer(df: DataFrame, url: str = "url", page: str = "html") -> DataFrame:
-    """Rows (host, wrapper): the wrapper of each host's pages as JSON.
+def fixed_texts(df: DataFrame, url: str = "url", page: str = "html") -> DataFrame:
+    """Rows (host, fixed): the keys of the texts on most pages of a host, no more than two pages' worth."""
+
+    def count(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        found: Counter = Counter()
+        for pdf in batches:
+            for host, text in zip(pdf["host"], pdf["html"]):
+                found.update((host, k) for k in text_keys(parse(text)))
+                found[host, 0] += 1
+                if len(found) > COUNTED:
+                    yield pd.DataFrame([(*k, n) for k, n in found.items()], columns=["host", "key", "n"])
+                    found.clear()
+        yield pd.DataFrame([(*k, n) for k, n in found.items()], columns=["host", "key", "n"])
+
+    pages = df.where(F.col(page).isNotNull()).select(host_of(url).alias("host"), F.col(page).alias("html"))
+    total = pages.mapInPandas(count, "host string, key long, n long").groupBy("host", "key").agg(F.sum("n").alias("n"))
+    # A row that can't be most of the pages of a host needs no join; key 0 has the number of pages.
+    often = total.where(F.col("n") >= FIXED_PAGES)
+    keyed = often.groupBy("host").agg(F.max(F.when(F.col("key") == 0, F.col("n"))).alias("pages")).where("pages is not null")
+    most = often.where("key <> 0").join(keyed, "host").where(2 * F.col("n") > F.col("pages"))
+    return most.groupBy("host").agg(F.sort_array(F.collect_list("key")).alias("fixed"))
+
+
+def infer(df: DataFrame, url: str = "url", page: str = "html", fixed: DataFrame | None = None) -> DataFrame:
+    """Rows (host, wrapper): the wrapper of each host's pages as JSON; fixed has the texts without weight (see ``fixed_texts``).
 
     Each partition aligns its pages of a host one after the other; what it sends is one wrapper for each of its hosts,
     whatever their number of pages. These are merged in two rounds, so a host of very many pages isn't one task's work.
@@ -283,8 +342,8 @@ def infer(df: DataFrame, url: str = "url", page: str = "html") -> DataFrame:
 
         found: dict[str, list] = {}
         for pdf in batches:
-            for host, text in zip(pdf["host"], pdf["html"]):
-                w = generalise(parse(text))
+            for host, text, keys in zip(pdf["host"], pdf["html"], pdf["fixed"]):
+                w = generalise(parse(text), frozenset() if keys is None else frozenset(keys))
                 found[host] = merge(found[host], w) if host in found else w
         rows = [(h, TaskContext.get().partitionId() % SALTS, json.dumps(w)) for h, w in found.items()]
         yield pd.DataFrame(rows, columns=["host", "salt", "wrapper"])
@@ -296,7 +355,8 @@ def infer(df: DataFrame, url: str = "url", page: str = "html") -> DataFrame:
         return pd.DataFrame({"host": pdf["host"].iloc[:1], "wrapper": [json.dumps(total)]})
 
     pages = df.where(F.col(page).isNotNull()).select(host_of(url).alias("host"), F.col(page).alias("html"))
-    parts = pages.mapInPandas(first, "host string, salt int, wrapper string")
+    pages = pages.withColumn("fixed", F.lit(None).cast("array<long>")) if fixed is None else pages.join(fixed, "host", "left")
+    parts = pages.select("host", "html", "fixed").mapInPandas(first, "host string, salt int, wrapper string")
     half = parts.groupBy("host", "salt").applyInPandas(again, "host string, wrapper string")
     return half.groupBy("host").applyInPandas(again, "host string, wrapper string")
 
@@ -313,9 +373,13 @@ def extract(df: DataFrame, url: str = "url", page: str = "html", out: str = "tex
             yield pd.DataFrame({"_host": pdf["host"], "_path": [main_path(json.loads(w)) for w in pdf["wrapper"]]})
 
     df = df.drop(out)
-    paths = checkpoint(infer(df, url, page).mapInPandas(decide, "_host string, _path array<string>"))
-    size = paths.agg(F.sum(F.length("_host") + F.length(F.concat_ws("", "_path")) + 64)).first()[0] or 0
-    keyed = df.withColumn("_host", host_of(url)).join(F.broadcast(paths) if size <= BROADCAST_BYTES else paths, "_host", "left").select(*df.columns, "_path")
+    fixed = checkpoint(fixed_texts(df, url, page))
+    size = fixed.agg(F.sum(F.length("host") + 8 * F.size("fixed") + 64)).first()[0] or 0
+    fixed = F.broadcast(fixed) if size <= BROADCAST_BYTES else fixed
+    paths = infer(df, url, page, fixed).mapInPandas(decide, "_host string, _path array<string>")
+    paths = checkpoint(paths.join(fixed.withColumnsRenamed({"host": "_host", "fixed": "_fixed"}), "_host", "left"))
+    size += paths.agg(F.sum(F.length("_host") + F.length(F.concat_ws("", "_path")) + 64)).first()[0] or 0
+    keyed = df.withColumn("_host", host_of(url)).join(F.broadcast(paths) if size <= BROADCAST_BYTES else paths, "_host", "left").select(*df.columns, "_path", "_fixed")
     names = df.columns
     at = names.index(page)
 
@@ -325,7 +389,8 @@ def extract(df: DataFrame, url: str = "url", page: str = "html", out: str = "tex
         for whole in batches:
             for k in range(0, whole.num_rows, CHUNK):
                 batch = whole.slice(k, CHUNK)
-                texts = [main_text(p, w) for p, w in zip(batch.column(at).to_pylist(), batch.column(batch.num_columns - 1).to_pylist())]
-                yield pa.RecordBatch.from_arrays([*batch.columns[:-1], pa.array(texts, pa.string())], [*names, out])
+                pages, paths, fixed = (batch.column(c).to_pylist() for c in (at, batch.num_columns - 2, batch.num_columns - 1))
+                texts = [main_text(p, w, frozenset(x or ())) for p, w, x in zip(pages, paths, fixed)]
+                yield pa.RecordBatch.from_arrays([*batch.columns[:-2], pa.array(texts, pa.string())], [*names, out])
 
     return keyed.mapInArrow(run, T.StructType([*df.schema.fields, T.StructField(out, T.StringType())]))

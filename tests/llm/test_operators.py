@@ -1,6 +1,7 @@
 """The operators against brute force over a small table with nulls, empty texts, ties, repeated rows and odd columns."""
 
 import hashlib
+import json
 import zlib
 
 import numpy as np
@@ -137,6 +138,18 @@ def test_wrappers(spark):
     assert got == {1: "T & t\nOne two three\nfour", 2: "T & t\nUno two three\nfour", 3: "", 4: "", 5: "Just some long text here\nmore"}
 
 
+def test_wrappers_drop_fixed_texts(spark):
+    head = "The same opening of eighty characters and more, which all of the articles of this host share: "
+    page = lambda i: f"<div class=top>A long line of the template that stands on each page</div><article id='post-{i}'><p>{head}{i}<p>Text {i} of the page<p>Send us mail</p><div class=box>Read our offers</div></article>"
+    plain = lambda i: f"<div class=a>A very long line of the template that stands on each page of it</div><div class=b><p>Some text {i}</div>"
+    rows = [(i, f"http://a.b/{i}", page(i)) for i in range(5)] + [(10 + i, f"http://c.d/{i}", plain(i)) for i in range(5)] + [(20 + i, f"http://e.f/{i}", page(1)) for i in range(4)]
+    got = {r["page_id"]: r["text"] for r in wrappers.extract(spark.createDataFrame(rows, "page_id long, url string, html string")).collect()}
+    assert all(got[i] == f"{head}{i}\nText {i} of the page" and got[10 + i] == f"Some text {i}" for i in range(5))
+    assert all(got[20 + i] == f"{head}1\nText 1 of the page\nSend us mail\nRead our offers" for i in range(4))
+    paths = {json.dumps(wrappers.main_path(wrappers.generalise(wrappers.parse(page(i))))) for i in range(30)}
+    assert len(paths) == 1
+
+
 def test_packing(spark, docs):
     from tokenizers import Tokenizer
 
