@@ -18,12 +18,14 @@ PATTERNS = {
 }
 #: A run of characters of identifiers that holds a digit or an at sign: what a learnt pattern may discover.
 CANDIDATE = r"(?:\G|(?<![A-Za-z0-9@+._%-]))[A-Za-z+._%-]*+[0-9@][A-Za-z0-9@+._%-]*+"
+#: Groups of digits joined by blanks, hyphens and brackets: a candidate, unless a run of characters at its start is one by itself.
+GROUPED = r"(?<![A-Za-z0-9@+._%-])(?:\([0-9]{2,5}\)[\x20-]?+|[0-9]{2,5}[\x20-])[0-9]{2,5}(?![A-Za-z0-9@%])(?:[\x20-][0-9]{2,5}(?![A-Za-z0-9@%])){0,4}+"
 #: What a candidate must look like to be of a kind, where fixed patterns don't say so.
 SHAPES = {
     "email": r"^[^@]{2,}@[^@]{2,}$",
     "ip": r"^[0-9]{1,3}(\.[0-9]{1,3}){2,3}$",
-    "card": r"^[0-9][0-9.-]{10,22}[0-9]$",
-    "phone": r"^\+?[0-9][0-9.-]{5,16}[0-9]$",
+    "card": r"^[0-9][0-9\x20.-]{10,22}[0-9]$",
+    "phone": r"^[+(]?[0-9][0-9\x20().-]{5,18}[0-9]$",
 }
 #: Code points of context that are looked at on each side.
 CONTEXT = 48
@@ -97,11 +99,20 @@ def scan(df: DataFrame, text: str = "text") -> DataFrame:
             out |= value.rlike(s)
         return out
 
-    free = F.filter(
-        F.filter(matches(t, CANDIDATE), lambda x: shape(x["value"])),
-        lambda x: ~F.exists("base", lambda b: (b["start"] < x["end"]) & (x["start"] < b["end"])),
-    )
-    return found.withColumn("more", free)
+    def over(x: Column, y: Column) -> Column:
+        return (x["start"] < y["end"]) & (y["start"] < x["end"])
+
+    def free(pattern: str) -> Column:
+        return F.filter(F.filter(matches(t, pattern), lambda x: shape(x["value"])), lambda x: ~F.exists("base", lambda b: over(b, x)))
+
+    def joined(single: Column, grouped: Column) -> Column:
+        return F.concat(F.filter(single, lambda x: ~F.exists(grouped, lambda g: over(g, x))), grouped)
+
+    def both(single: Column) -> Column:
+        apart = F.filter(free(GROUPED), lambda g: ~F.exists(single, lambda x: (x["start"] <= g["start"]) & (g["start"] < x["end"])))
+        return let(apart, lambda grouped: joined(single, grouped))
+
+    return found.withColumn("more", let(free(CANDIDATE), both))
 
 
 def bootstrap(occurrences: DataFrame, rounds: int = 3, min_seeds: int = 4, min_confidence: float = 0.8) -> DataFrame:

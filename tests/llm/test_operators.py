@@ -193,6 +193,18 @@ def test_pii_bootstrap(spark):
     assert got[99] == "phone:16:28" and got[1].startswith("phone:16:")
 
 
+def test_pii_bootstrap_groups(spark):
+    luhn = lambda n: sum(sum(divmod(int(c) * (1 + k % 2), 10)) for k, c in enumerate(reversed(n))) % 10 == 0
+    cards = [n for n in (f"411111111111{k:04d}" for k in range(400)) if luhn(n)]
+    grouped = [" ".join(n[k : k + 4] for k in range(0, 16, 4)) for n in cards]
+    rows = [(i, f"call telephone: +1 (743) 555-38{i:02d} now, card: {grouped[i]} ok") for i in range(30)]
+    found = {"743 555 9999": 12, "(743) 555-9999": 14, "743-555-9999 12": 12, "743 555-9999 5th": 12}
+    rows += [(90 + i, f"call telephone: {x} now") for i, x in enumerate(found)] + [(98, "about 212 555 0000 things"), (99, "pay card: 5500 0000 1111 2223 ok")]
+    got = {r["doc_id"]: r["spans"] for r in pii.digests(pii.find(spark.createDataFrame(rows, "doc_id long, text string"))).collect()}
+    assert [got[90 + i] for i in range(4)] == [f"phone:16:{16 + n}" for n in found.values()]
+    assert got[98] == "" and got[99] == "card:10:29"
+
+
 def test_classifier(spark):
     from chronolex.llm import classifier
 
