@@ -9,16 +9,16 @@ from functools import cache
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-#: What Python's str.strip() takes for white space.
+#: What Python's str.strip() takes for white space: a class for patterns, and the characters.
 PY_SPACE = r"[\s\x1c-\x1f\x85]"
-#: Letters that Unicode does not decompose, and what stands for them.
+PY_BLANKS = "\t\n\x0b\x0c\r\x1c\x1d\x1e\x1f \x85\xa0\u1680\u2000\u2001\u2002\u2003\u2004\u2005\u2006\u2007\u2008\u2009\u200a\u2028\u2029\u202f\u205f\u3000"
+#: Letters, and what stands for them.
 LETTERS = {
-    "æ": "ae", "œ": "oe", "ß": "ss", "ø": "o", "ł": "l", "đ": "d", "ð": "d", "þ": "th", "ħ": "h", "ı": "i", "ŧ": "t", "ſ": "s", "ŋ": "ng", "ĸ": "k", "ﬁ": "fi", "ﬂ": "fl", "ﬀ": "ff", "ﬃ": "ffi", "ﬄ": "ffl", "ﬅ": "st", "ﬆ": "st",
+    "œ": "oe", "Œ": "oe", "æ": "ae", "Æ": "ae", "ß": "ss", "ﬁ": "fi", "ﬂ": "fl", "ſ": "s", "þ": "th", "Þ": "th", "ð": "d", "Ð": "d", "ø": "o", "ı": "i", "ł": "l", "ӧ": "o",
 }
 #: Signs that are dropped, and those that become an ASCII sign.
-DROPPED = "´`¨^~¯¸°˘˙˚˝˛ˇ©®™§¶†‡•…·�"
-SIGNS = {"'": "’‘‚‛ʼ′ʹ", "-": "‐‑‒–—―−", '"': "“”„‟«»″"}
-SINGLE_ANGLES = "‹›"
+DROPPED = "¨¯¸˜˝᾿₌≠≮≯™®©°§†‡•·…�"
+SIGNS = {"'": "’‘ʼʻ`´′‹›", "-": "‐‑‒–—−⸗", '"': "«»“”„‟"}
 #: Signs that are stripped from both ends of a lemma.
 BOUNDARY = " \t\n\r" ".,;:!?()[]{}" "\"'" "-_\\/|~^=+*@#$%&§°£€¥¢©®™" "•■□▲►▼★♦✓†‡¶"
 
@@ -35,10 +35,6 @@ def fold_char(ch: str) -> str | None:
     for sign, variants in SIGNS.items():
         if ch in variants:
             return sign
-    if ch in SINGLE_ANGLES:
-        return "'"
-    if ch.lower() != ch and ch.lower() in LETTERS:
-        return LETTERS[ch.lower()]
     if ch.isascii():
         return None
     plain = "".join(c for c in unicodedata.normalize("NFKD", ch) if not unicodedata.combining(c))
@@ -60,7 +56,7 @@ def char_table(counts: dict[str, int], min_count: int = 1) -> dict[str, str]:
 @cache
 def latin_table() -> dict[str, str]:
     """The table of all letters of the Latin blocks and of the fixed values."""
-    fixed = [*LETTERS, *DROPPED, *"".join(SIGNS.values()), *SINGLE_ANGLES]
+    fixed = [*LETTERS, *DROPPED, *"".join(SIGNS.values())]
     chars = {chr(c) for c in (*range(0xA0, 0x250), *range(0x1E00, 0x1F00))} | set(fixed)
     return char_table(dict.fromkeys(chars, 1))
 
@@ -71,7 +67,7 @@ def let(value: Column, body: Callable[[Column], Column]) -> Column:
 
 
 def py_strip(c: Column) -> Column:
-    return F.regexp_replace(c, f"(?U)^{PY_SPACE}+|{PY_SPACE}+$", "")
+    return F.btrim(c, F.lit(PY_BLANKS))
 
 
 def translate(c: Column, table: dict[str, str]) -> Column:

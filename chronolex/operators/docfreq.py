@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 
@@ -25,15 +25,24 @@ def rare(freqs: DataFrame, max_df: int) -> DataFrame:
     return freqs.where(F.col("document_frequency") <= max_df).orderBy("document_frequency", "total_frequency", "lemma")
 
 
-def rare_ids(texts: DataFrame, freqs: DataFrame, max_df: int) -> DataFrame:
-    """The ids of the documents of each rare lemma; a rare lemma has few, so the lists are short."""
-    pairs = texts.select("ci_id", F.explode(F.array_distinct("lemmas")).alias("lemma"))
-    few = pairs.join(rare(freqs, max_df).select("lemma"), "lemma", "left_semi")
-    return few.groupBy("lemma").agg(F.array_sort(F.collect_list("ci_id")).alias("document_ids"))
-
+def rare_ids(texts: DataFrame, max_df: int) -> DataFrame:
+    """The lemmas of at most max_df rows, with the sorted ids of these.
 
-def totals(texts: DataFrame, freqs: DataFrame, max_df: int) -> DataFrame:
-    """Documents, tokens, vocabulary size and reported lemmas, one row."""
-    docs = texts.agg(F.count("*").alias("documents"), F.coalesce(F.sum(F.size("lemmas")), F.lit(0)).cast("long").alias("tokens"))
-    words = freqs.agg(F.count("*").alias("vocabulary"), F.count_if(F.col("document_frequency") <= max_df).alias("reported"))
-    return docs.join(words)
+    One id more than that of each lemma is enough to tell, so Spark cuts the rows of frequent lemmas before the shuffle.
+    """
+    pairs = texts.select("ci_id", F.explode(F.array_distinct("lemmas")).alias("lemma"))
+    first = pairs.withColumn("_rank", F.row_number().over(Window.partitionBy("lemma").orderBy("ci_id"))).where(F.col("_rank") <= max_df + 1)
+    ids = first.groupBy("lemma").agg(F.array_sort(F.collect_list("ci_id")).alias("document_ids"))
+    return ids.where(F.size("document_ids") <= max_df)
+
+
+def totals(texts: DataFrame, max_df: int) -> DataFrame:
+    """Documents, tokens, vocabulary size and reported lemmas, one row, from one pass: the null lemma stands for the documents."""
+    marked = texts.select(F.concat(F.array(F.lit(None).cast("string")), "lemmas").alias("lemmas"))
+    freqs = document_frequencies(marked)
+    word = F.col("lemma").isNotNull()
+    zero = lambda c: F.coalesce(F.sum(c), F.lit(0)).cast("long")
+    return freqs.agg(
+        zero(F.when(~word, F.col("document_frequency"))).alias("documents"), zero(F.when(word, F.col("total_frequency"))).alias("tokens"),
+        F.count_if(word).alias("vocabulary"), F.count_if(word & (F.col("document_frequency") <= max_df)).alias("reported"),
+    )

@@ -7,7 +7,7 @@ from __future__ import annotations
 
 from collections.abc import Iterable
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from chronolex.functions.ids import decade, newspaper
@@ -34,20 +34,51 @@ def lemma_or_surface(lemma: Column, surface: Column) -> Column:
     return F.lower(F.when(bare != "", bare).otherwise(py_strip(F.coalesce(surface, F.lit("")))))
 
 
-def lemmas(toks: DataFrame, pos: Iterable[str], min_length: int, vocab: DataFrame, normalize: bool = True, on: Iterable[str] = ("lemma",)) -> DataFrame:
-    """Tokens of the wanted parts of speech whose (normalised) lemma is in the vocabulary.
+def raw_lemmas(titles: bool = True, pos: Iterable[str] | None = None, lang: Column | str | None = None) -> Column:
+    """The lemmas of a document's row in order (body first, then titles), before any normalisation.
 
-    Cheap predicates come before the normalisation, and that before the join; Spark broadcasts the vocabulary if it is small.
+    Only sentences of the language (a value or a column; null: all) and tokens of the wanted parts of speech count.
     """
-    lemma = lemma_or_surface(F.col("l"), F.col("t"))
-    out = toks.where(F.col("p").isin(*pos)).withColumn("lemma", normalize_lemma(lemma, min_alpha=min_length) if normalize else lemma)
-    return out.where(F.length("lemma") >= min_length).join(vocab, [*on], "left_semi")
+    both = F.coalesce("sents", F.array())
+    if titles:
+        both = F.concat(both, F.coalesce("tsents", F.array()))
+    if lang is not None:
+        want = F.lit(lang) if isinstance(lang, str) else lang
+        both = F.filter(both, lambda s: s["lg"] == want)
+
+    def of(sent: Column) -> Column:
+        toks = F.coalesce(sent["tok"], sent["tokens"], F.array())
+        kept = F.filter(toks, lambda t: t["p"].isin(*pos)) if pos is not None else toks
+        return F.transform(kept, lambda t: lemma_or_surface(t["l"], t["t"]))
+
+    return F.filter(F.flatten(F.transform(both, of)), lambda x: x != "")
+
 
+def lookup(raws: DataFrame, vocab: DataFrame, min_length: int, normalize: bool = True, on: Iterable[str] = ()) -> DataFrame:
+    """Rows (on, raw, lemma): the distinct raw lemmas whose (normalised) lemma is in the vocabulary (on, lemma).
 
-def document_lemmas(kept: DataFrame, keep: Iterable[str] = ("ci_id",)) -> DataFrame:
-    """The lemmas of each document in order."""
-    ordered = F.array_sort(F.collect_list(F.struct("sent_pos", "tok_pos", "lemma")))
-    return kept.groupBy(*keep).agg(F.transform(ordered, lambda x: x["lemma"]).alias("lemmas"))
+    Each distinct lemma is normalised once, however often it occurs.
+    """
+    raw = F.col("raw")
+    named = raws.select(*on, "raw").distinct().withColumn("lemma", normalize_lemma(raw, min_alpha=min_length) if normalize else raw)
+    return named.where(F.length("lemma") >= min_length).join(vocab, [*on, "lemma"], "left_semi")
+
+
+def document_lemmas(docs: DataFrame, known: DataFrame, raws: Column, keep: Iterable[str] = ("ci_id",), on: Iterable[str] = ()) -> DataFrame:
+    """The columns ``keep`` and lemmas: what ``known`` (on, raw, lemma; see ``lookup``) has for the raw lemmas of each row, in order.
+
+    Each row is a document of its own, whatever its id; one without a known lemma has an empty array. Rows are numbered and their lemmas looked up
+    by a join, which Spark broadcasts if the vocabulary is small; they come back by that number, unknown ones left out before.
+    """
+    named = {n: f"k{i}" for i, n in enumerate(dict.fromkeys([*keep, *on]))}
+    rows = docs.select(*[F.col(n).alias(c) for n, c in named.items()], F.monotonically_increasing_id().alias("row"), raws.alias("raws"))
+    # A row without a lemma stands for the document.
+    each = rows.select(*named.values(), "row", F.posexplode(F.concat(F.array(F.lit("")), F.coalesce("raws", F.array()))).alias("pos", "raw"))
+    found = each.join(known.select(*[F.col(n).alias(named[n]) for n in on], "raw", "lemma"), [*[named[n] for n in on], "raw"], "left")
+    found = found.where((F.col("pos") == 0) | F.col("lemma").isNotNull())
+    ordered = F.array_sort(F.collect_list(F.when(F.col("pos") > 0, F.struct("pos", "lemma"))))
+    out = found.groupBy("row", *named.values()).agg(F.transform(ordered, lambda x: x["lemma"]).alias("lemmas"))
+    return out.select(*[F.col(named[n]).alias(n) for n in keep], "lemmas")
 
 
 def judge(docs: DataFrame, min_tokens: int, min_unique: int, max_tokens: int) -> DataFrame:
@@ -68,16 +99,42 @@ def strata(judged: DataFrame) -> DataFrame:
     )
 
 
-def extract_tokens(docs: DataFrame, pos: Iterable[str], languages: Iterable[str] | None = None, min_length: int = 3) -> DataFrame:
-    """The older extraction: no vocabulary, a lemma counts where it is present even if empty.
+def counters(parsed: DataFrame, judged: DataFrame) -> DataFrame:
+    """One row of counts: input_lines, json_errors, missing_ci_id, docs_seen, accepted_vocab_tokens, rejected_too_short, rejected_too_few_unique, rejected_too_long, docs_written.
 
-    The language is that of a document's first accepted sentence; a document without tokens stays if it has such a sentence.
+    parsed: lines with their status; judged: the documents of the good ones. accepted_vocab_tokens counts rejected documents as well.
+    """
+    status = lambda x: F.count_if(F.col("status") == x)
+    because = lambda x: F.count_if(F.col("reason") == x)
+    lines = parsed.agg(F.count("*").alias("input_lines"), status("json_error").alias("json_errors"), status("no_id").alias("missing_ci_id")).withColumn("one", F.lit(1))
+    docs = judged.agg(
+        F.count("*").alias("docs_seen"), F.coalesce(F.sum("n"), F.lit(0)).cast("long").alias("accepted_vocab_tokens"), because("short").alias("rejected_too_short"),
+        because("few_unique").alias("rejected_too_few_unique"), because("long").alias("rejected_too_long"), F.count_if(F.col("reason").isNull()).alias("docs_written"),
+    )
+    return lines.join(docs.withColumn("one", F.lit(1)), "one").drop("one")
+
+
+def extract_tokens(docs: DataFrame, pos: Iterable[str], languages: Iterable[str] | None = None, min_length: int = 3, order: tuple[str, str] | None = None) -> DataFrame:
+    """The older extraction: no vocabulary, no titles; a lemma counts where it is present even if empty.
+
+    The language is that of a line's first accepted sentence; a line without tokens stays if it has such a sentence and language. A wanted token
+    without lemma and surface ends its line, what stands before it counts. order: the columns (file, number of the line) by which
+    consecutive accepted lines of one id are one document, else each row is one.
     """
-    sents = docs.select("ci_id", F.posexplode("sents").alias("sent_pos", "sent"))
+    sents = F.coalesce("sents", F.array())
     if languages:
-        sents = sents.where(F.col("sent.lg").isin(*languages))
-    toks = F.filter(F.coalesce("sent.tok", "sent.tokens", F.array()), lambda x: x["p"].isin(*pos))
-    words = F.filter(F.transform(toks, lambda x: F.lower(F.coalesce(x["l"], x["t"]))), lambda w: F.length(w) >= min_length)
-    per = sents.select("ci_id", "sent_pos", F.col("sent.lg").alias("lg"), words.alias("words"))
-    grouped = per.groupBy("ci_id").agg(F.min_by("lg", "sent_pos").alias("language"), F.array_sort(F.collect_list(F.struct("sent_pos", "words"))).alias("w"))
-    return grouped.select("ci_id", "language", F.flatten(F.transform("w", lambda x: x["words"])).alias("tokens"))
+        sents = F.filter(sents, lambda s: s["lg"].isin(*languages))
+    toks = F.filter(F.flatten(F.transform(sents, lambda s: F.coalesce(s["tok"], s["tokens"], F.array()))), lambda t: t["p"].isin(*pos))
+    bad = F.array_position(F.transform(toks, lambda t: t["l"].isNull() & t["t"].isNull()), True)
+    words = F.transform(F.slice(toks, 1, F.when(bad > 0, bad - 1).otherwise(F.size(toks)).cast("int")), lambda t: F.lower(F.coalesce(t["l"], t["t"])))
+    kept = F.filter(words, lambda w: F.length(w) >= min_length)
+    per = docs.select("ci_id", *(order or ()), F.size(sents).alias("n"), F.get(sents, F.lit(0))["lg"].alias("language"), kept.alias("tokens")).where("n > 0 and ci_id is not null")
+    if order is None:
+        return per.where("language is not null").select("ci_id", "language", "tokens")
+    file, line = order
+    by = Window.partitionBy(file).orderBy(line)
+    new = F.coalesce((F.col("ci_id") != F.lag("ci_id").over(by)).cast("int"), F.lit(1))
+    runs = per.withColumn("_new", new).withColumn("_run", F.sum("_new").over(by))
+    parts = F.array_sort(F.collect_list(F.struct(F.col(line).alias("line"), "tokens")))
+    merged = runs.groupBy(file, "_run", "ci_id").agg(F.min_by("language", line).alias("language"), F.flatten(F.transform(parts, lambda x: x["tokens"])).alias("tokens"))
+    return merged.where("language is not null").select("ci_id", "language", "tokens")

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from collections.abc import Iterable
+
 from pyspark.ml.clustering import LDA, LDAModel
 from pyspark.ml.feature import CountVectorizerModel
 from pyspark.ml.functions import vector_to_array
@@ -14,9 +16,10 @@ def vectorizer(vocab: list[str]) -> CountVectorizerModel:
     return CountVectorizerModel.from_vocabulary(vocab, inputCol="lemmas", outputCol="features")
 
 
-def bag_of_words(texts: DataFrame, vocab: DataFrame) -> DataFrame:
-    """Counts (ci_id, lemma, n) of the words of a frozen vocabulary."""
-    return texts.select("ci_id", F.explode("lemmas").alias("lemma")).join(vocab, "lemma", "left_semi").groupBy("ci_id", "lemma").agg(F.count("*").alias("n"))
+def bag_of_words(texts: DataFrame, vocab: DataFrame, on: Iterable[str] = ()) -> DataFrame:
+    """Counts (on, ci_id, lemma, n) of the words of a frozen vocabulary (on, lemma); other words are dropped."""
+    each = texts.select(*on, "ci_id", F.explode("lemmas").alias("lemma")).groupBy(*on, "ci_id", "lemma").agg(F.count("*").alias("n"))
+    return each.join(vocab, [*on, "lemma"], "left_semi")
 
 
 def train(vectors: DataFrame, k: int, iterations: int = 20, optimizer: str = "em", seed: int = 42) -> LDAModel:

@@ -75,6 +75,16 @@ def vocabulary(
     return out
 
 
+def members(normalized: DataFrame, min_freq: int, max_freq: int, min_length: int = 3, by: Iterable[str] = ("lang",)) -> DataFrame:
+    """Rows (by, raw, lemma): the raw lemmas whose normalised lemma, with all its spellings together, is within the limits.
+
+    One pass over the distinct lemmas (by, lemma, freq, norm) gives both the vocabulary and what leads to it.
+    """
+    total = F.sum("freq").over(Window.partitionBy(*by, "norm"))
+    kept = normalized.where(F.col("norm").isNotNull() & (F.length("norm") >= min_length)).withColumn("_total", total)
+    return kept.where(F.col("_total").between(min_freq, max_freq)).select(*by, F.col("lemma").alias("raw"), F.col("norm").alias("lemma"))
+
+
 def union_lists(*lists: DataFrame) -> DataFrame:
     """All words of several lists, once."""
     out = lists[0].select("word")

@@ -35,10 +35,10 @@ def _chain(**parts: str) -> str:
 
 
 CORPUS = _chain(
-    corpus=f"SELECT {CI} AS ci_id, lang, string_split(coalesce(text, ''), chr(10)) AS ls FROM documents",
-    line="SELECT ci_id, lang, unnest(ls) AS line, generate_subscripts(ls, 1) AS i, len(ls) AS k FROM corpus",
-    sent="SELECT ci_id, lang, CASE WHEN i = 1 THEN k - 1 ELSE i - 2 END::BIGINT AS sent_pos, list_filter(string_split(line, ' '), lambda x: x <> '') AS ws FROM line",
-    tok="SELECT ci_id, lang, sent_pos, unnest(ws) AS t, generate_subscripts(ws, 1)::BIGINT - 1 AS tok_pos FROM sent",
+    corpus=f"SELECT row_number() OVER () AS r, {CI} AS ci_id, lang, string_split(coalesce(text, ''), chr(10)) AS ls FROM documents",
+    line="SELECT r, ci_id, lang, unnest(ls) AS line, generate_subscripts(ls, 1) AS i, len(ls) AS k FROM corpus",
+    sent="SELECT r, ci_id, lang, CASE WHEN i = 1 THEN k - 1 ELSE i - 2 END::BIGINT AS sent_pos, list_filter(string_split(line, ' '), lambda x: x <> '') AS ws FROM line",
+    tok="SELECT r, ci_id, lang, sent_pos, unnest(ws) AS t, generate_subscripts(ws, 1)::BIGINT - 1 AS tok_pos FROM sent",
     token="SELECT *, CASE WHEN left(t, 1) <> lower(left(t, 1)) THEN 'PROPN' WHEN length(t) % 5 = 0 THEN 'VERB' ELSE 'NOUN' END AS p, CASE WHEN length(t) % 7 = 0 THEN '' ELSE lower(t) END AS l FROM tok",
     lem="SELECT *, CASE WHEN trim(l) <> '' THEN l ELSE lower(t) END AS lemma FROM token",
     freqs="SELECT lang, lemma, count(*) AS freq FROM lem GROUP BY ALL",
@@ -46,13 +46,14 @@ CORPUS = _chain(
 NORMED = _chain(normed=f"SELECT lang, lemma, freq, {_norm('lemma')} AS norm FROM freqs")
 TEXTS = _chain(
     vocab=f"SELECT lang, norm AS lemma FROM normed WHERE norm IS NOT NULL GROUP BY ALL HAVING sum(freq) BETWEEN {td.MIN_FREQ} AND {td.MAX_FREQ}",
-    candidate=f"SELECT ci_id, lang, sent_pos, tok_pos, {_norm('lemma')} AS lemma FROM lem WHERE p IN ({_list(td.POS)})",
+    candidate=f"SELECT r, lang, sent_pos, tok_pos, {_norm('lemma')} AS lemma FROM lem WHERE p IN ({_list(td.POS)})",
     kept="SELECT c.* FROM candidate c SEMI JOIN vocab v ON c.lang = v.lang AND c.lemma = v.lemma",
-    doc="SELECT ci_id, lang, count(*) AS n, count(DISTINCT lemma) AS n_unique, string_agg(lemma, ' ' ORDER BY sent_pos, tok_pos) AS lemmas FROM kept GROUP BY ci_id, lang",
+    counted="SELECT r, count(*) AS n, count(DISTINCT lemma) AS n_unique, string_agg(lemma, ' ' ORDER BY sent_pos, tok_pos) AS lemmas FROM kept GROUP BY r",
+    doc="SELECT r, ci_id, corpus.lang, coalesce(n, 0) AS n, coalesce(n_unique, 0) AS n_unique, coalesce(lemmas, '') AS lemmas FROM corpus LEFT JOIN counted USING (r)",
     judged=f"SELECT *, CASE WHEN n < {td.LIMITS[0]} THEN 'short' WHEN n_unique < {td.LIMITS[1]} THEN 'few_unique' WHEN n > {td.LIMITS[2]} THEN 'long' END AS reason FROM doc",
     ok="SELECT * FROM judged WHERE reason IS NULL",
-    word="SELECT k.ci_id, k.lemma FROM kept k SEMI JOIN ok o ON k.ci_id = o.ci_id AND k.lang = o.lang",
-    df="SELECT lemma, count(DISTINCT ci_id) AS document_frequency, count(*) AS total_frequency FROM word GROUP BY lemma",
+    word="SELECT o.r, o.ci_id, o.lang, k.lemma FROM kept k JOIN ok o ON k.r = o.r",
+    df="SELECT lemma, count(DISTINCT r) AS document_frequency, count(*) AS total_frequency FROM word GROUP BY lemma",
 )
 C, N, T = f"WITH {CORPUS}", f"WITH {CORPUS}, {NORMED}", f"WITH {CORPUS}, {NORMED}, {TEXTS}"
 
@@ -119,13 +120,13 @@ _NOISE = "coalesce(string_agg(CASE WHEN topic_type = '{}' THEN topic_id END, '|'
 ORACLES = {
     "scan_corpus": f"""SELECT doc_id, CASE WHEN doc_id % 10 IN (3, 4, 6) THEN NULL ELSE {CI} END AS ci_id,
         CASE WHEN doc_id % 10 IN (3, 4) THEN 'json_error' WHEN doc_id % 10 = 6 THEN 'no_id' ELSE 'ok' END AS status,
-        CASE WHEN doc_id % 10 IN (3, 4, 5, 6) THEN 0 ELSE 1 END::BIGINT AS sentences FROM documents""",
-    "scan_eligible": f"""SELECT {CI} AS ci_id, 'DUMMY' AS label, array_to_string(list_filter(regexp_split_to_array(string_split(text, chr(10))[1], '\\s+'), lambda x: x <> ''), ' ') AS lemmas
+        CASE WHEN doc_id % 10 IN (3, 4) THEN 0 ELSE len(string_split(coalesce(text, ''), chr(10))) - 1 END::BIGINT AS sentences FROM documents""",
+    "scan_eligible": f"""SELECT {CI} AS ci_id, 'DUMMY' AS label, array_to_string(list_filter(regexp_split_to_array(coalesce(text, ''), '\\s+'), lambda x: x <> ''), ' ') AS lemmas
         FROM documents WHERE doc_id % 10 NOT IN (3, 4)""",
     "wordlist": "SELECT DISTINCT lower(n_name) AS word FROM nation",
     "scan_tsv_comment": "SELECT 2::BIGINT AS n, doc_id || '|' || source AS fields FROM documents WHERE doc_id % 7 <> 0",
     "topic_keys_topn": "SELECT n_nationkey AS topic, array_to_string(string_split(n_name || ' a b c', ' ')[1:3], ' ') AS words FROM nation WHERE n_nationkey % 5 <> 4",
-    "text_last_wins": "SELECT 'src' || (doc_id % 20) || '-1900-01-01-a-i' || lpad((doc_id % 400)::VARCHAR, 4, '0') AS ci_ref, arg_max(left(text, 40), doc_id) AS original_text FROM documents GROUP BY ALL",
+    "text_last_wins": "SELECT 'src' || (doc_id % 20) || '-1900-01-01-a-i' || lpad((doc_id % 400)::VARCHAR, 4, '0') AS ci_ref, arg_max(text, doc_id) AS original_text FROM documents GROUP BY ALL",
     "topic_id_coalesce": "SELECT CASE n_nationkey % 3 WHEN 0 THEN 'i' WHEN 1 THEN 't' ELSE '' END || n_nationkey AS topic_id, lower(n_name) || ' w' || n_nationkey AS words FROM nation",
     "collection_filter": "SELECT r_name || '/' || n_name AS name FROM nation JOIN region ON n_regionkey = r_regionkey WHERE r_name || '/' || n_name GLOB 'A*/*'",
     "lemma_freq": f"{C} SELECT lang, lemma, freq FROM freqs",
@@ -184,8 +185,8 @@ ORACLES = {
     "dup_count": f"{D} SELECT count(*) - count(DISTINCT ci_ref) AS duplicates FROM ref",
     "assign_sorted": f"{D} SELECT ci_ref, pos, t, p FROM sorted",
     "join_left_text": f"""{D} SELECT ci_ref, original_text FROM first LEFT JOIN (
-        SELECT 'src' || (doc_id % 20) || '-1900-01-01-a-i' || lpad((doc_id % 400)::VARCHAR, 4, '0') AS ci_ref, arg_max(left(text, 40), doc_id) AS original_text
-        FROM documents WHERE doc_id % 3 > 0 GROUP BY ALL) USING (ci_ref)""",
+        SELECT 'src' || (doc_id % 20) || '-1900-01-01-a-i' || lpad((doc_id % 400)::VARCHAR, 4, '0') AS ci_ref, arg_max(text, doc_id) AS original_text
+        FROM documents GROUP BY ALL) USING (ci_ref)""",
     "join_left_words": f"""WITH {WEIGHTS}, {DENSE} SELECT ci_ref, t, p, coalesce(words, '') AS words FROM sorted LEFT JOIN (
         SELECT topic, string_agg(word, ' ' ORDER BY rank) AS words FROM top WHERE rank <= 3 GROUP BY topic) w ON t = w.topic""",
     "term_key": f"{C} SELECT t, {_key('t')} AS key FROM (SELECT DISTINCT t FROM tok)",
@@ -199,5 +200,5 @@ ORACLES = {
         SELECT topic_id, side FROM (SELECT coalesce(a.topic_id, b.topic_id) AS topic_id, coalesce(a.n, 0) - coalesce(b.n, 0) AS extra, CASE WHEN coalesce(a.n, 0) > coalesce(b.n, 0) THEN 'label' ELSE 'topic' END AS side
         FROM a FULL JOIN b ON a.topic_id = b.topic_id), (SELECT unnest(range(1, 10)) AS i) WHERE i <= abs(extra)""",
     "label_summary": f"{L} SELECT confidence, count(*) AS labels, {_NOISE.format('ocr_noise')} AS noise, {_NOISE.format('mixed_uncertain')} AS mixed FROM labels GROUP BY confidence",
-    "bow_counts": f"{T} SELECT ci_id, lemma, count(*) AS n FROM word WHERE ci_id IN (SELECT ci_id FROM ok WHERE lang = 'en') GROUP BY ALL",
+    "bow_counts": f"{T} SELECT lang, ci_id, lemma, count(*) AS n FROM word GROUP BY ALL",
 }

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from functools import reduce
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from chronolex.functions import ids, text
@@ -114,7 +114,7 @@ def _tokens(spark: SparkSession, d: str) -> DataFrame:
 
 
 def _lemmas(spark: SparkSession, d: str) -> DataFrame:
-    return _tokens(spark, d).withColumn("lemma", eligible.lemma_or_surface(F.col("l"), F.col("t")))
+    return td.corpus(spark, d).select("lang", F.explode(eligible.raw_lemmas()).alias("lemma"))
 
 
 @query
@@ -194,7 +194,8 @@ def explode_tokens(spark: SparkSession, d: str) -> DataFrame:
 
 @query
 def lemma_fallback(spark: SparkSession, d: str) -> DataFrame:
-    return _lemmas(spark, d).select("ci_id", F.col("sent_pos").cast("long").alias("sent_pos"), F.col("tok_pos").cast("long").alias("tok_pos"), "lemma")
+    lemmas = _tokens(spark, d).withColumn("lemma", eligible.lemma_or_surface(F.col("l"), F.col("t")))
+    return lemmas.select("ci_id", F.col("sent_pos").cast("long").alias("sent_pos"), F.col("tok_pos").cast("long").alias("tok_pos"), "lemma")
 
 
 def vocabulary(spark: SparkSession, d: str) -> DataFrame:
@@ -203,17 +204,24 @@ def vocabulary(spark: SparkSession, d: str) -> DataFrame:
     return vocab.vocabulary(freqs, td.MIN_FREQ, td.MAX_FREQ, td.MIN_LENGTH).select("lang", "lemma")
 
 
-def _kept(spark: SparkSession, d: str) -> DataFrame:
-    return eligible.lemmas(_tokens(spark, d).where("lg = lang"), td.POS, td.MIN_LENGTH, vocabulary(spark, d), on=("lang", "lemma"))
+def _known(spark: SparkSession, d: str) -> DataFrame:
+    """Raw lemmas of the corpus with their lemma in the vocabulary: each distinct one is normalised once."""
+    return vocab.members(_normalized(spark, d), td.MIN_FREQ, td.MAX_FREQ, td.MIN_LENGTH)
+
+
+def _raws() -> Column:
+    return eligible.raw_lemmas(pos=td.POS, lang=F.col("lang"))
 
 
 @query
 def join_semi_vocab(spark: SparkSession, d: str) -> DataFrame:
-    return _kept(spark, d).groupBy("lang", "lemma").agg(F.count("*").alias("n"))
+    raws = td.corpus(spark, d).select("lang", F.explode(_raws()).alias("raw")).groupBy("lang", "raw").agg(F.count("*").alias("n"))
+    known = eligible.lookup(raws, vocabulary(spark, d), td.MIN_LENGTH, on=("lang",))
+    return raws.join(known, ["lang", "raw"]).groupBy("lang", "lemma").agg(F.sum("n").alias("n"))
 
 
 def _documents(spark: SparkSession, d: str) -> DataFrame:
-    return eligible.document_lemmas(_kept(spark, d), ("ci_id", "lang"))
+    return eligible.document_lemmas(td.corpus(spark, d), _known(spark, d), _raws(), ("ci_id", "lang"), ("lang",))
 
 
 @query
@@ -265,12 +273,12 @@ def rare_lemmas(spark: SparkSession, d: str) -> DataFrame:
 
 @query
 def rare_doc_ids(spark: SparkSession, d: str) -> DataFrame:
-    return docfreq.rare_ids(_eligible(spark, d), doc_freq(spark, d), td.MAX_DF).select("lemma", _join("document_ids", "|").alias("document_ids"))
+    return docfreq.rare_ids(_eligible(spark, d), td.MAX_DF).select("lemma", _join("document_ids", "|").alias("document_ids"))
 
 
 @query
 def docfreq_totals(spark: SparkSession, d: str) -> DataFrame:
-    return docfreq.totals(_eligible(spark, d), doc_freq(spark, d), td.MAX_DF)
+    return docfreq.totals(_eligible(spark, d), td.MAX_DF)
 
 
 # Samples
@@ -499,8 +507,7 @@ def _union(parts: list[tuple]) -> DataFrame:
 
 @query
 def bow_counts(spark: SparkSession, d: str) -> DataFrame:
-    words = vocabulary(spark, d).where("lang = 'en'").select("lemma")
-    return lda.bag_of_words(_eligible(spark, d).where("lang = 'en'"), words)
+    return lda.bag_of_words(_eligible(spark, d), vocabulary(spark, d), on=("lang",))
 
 
 @query
