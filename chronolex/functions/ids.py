@@ -9,6 +9,7 @@ import pandas as pd
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
+#: The patterns of the ids of content items, and of references to them.
 CI_ID = r"^(.+?)-(\d{4})-\d{2}-\d{2}-"
 CI_REF = r"^(.+?/)?([^/]+?-\d{4}-\d{2}-\d{2}-\w-i\d{4})[^/]*$"
 

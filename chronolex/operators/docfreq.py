@@ -22,7 +22,7 @@ def rare(freqs: DataFrame, max_df: int) -> DataFrame:
     """Lemmas of at most max_df documents, rarest first."""
     if max_df < 1:
         raise ValueError("max_df must be 1 at least")
-    return freqs.where(F.col("document_frequency") <= max_df).orderBy("document_frequency", "total_frequency", "lemma")
+    return freqs.where(F.col("document_frequency") <= max_df).orderBy("document_frequency", F.desc("total_frequency"), "lemma")
 
 
 def rare_ids(texts: DataFrame, max_df: int) -> DataFrame:

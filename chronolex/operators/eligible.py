@@ -61,7 +61,7 @@ def lookup(raws: DataFrame, vocab: DataFrame, min_length: int, normalize: bool =
     """
     raw = F.col("raw")
     named = raws.select(*on, "raw").distinct().withColumn("lemma", normalize_lemma(raw, min_alpha=min_length) if normalize else raw)
-    return named.where(F.length("lemma") >= min_length).join(vocab, [*on, "lemma"], "left_semi")
+    return named.where(F.length("lemma") >= min_length).join(vocab, [*on, "lemma"], "left_semi").select(*on, "raw", "lemma")
 
 
 def document_lemmas(docs: DataFrame, known: DataFrame, raws: Column, keep: Iterable[str] = ("ci_id",), on: Iterable[str] = ()) -> DataFrame:

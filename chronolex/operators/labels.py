@@ -4,10 +4,9 @@ from __future__ import annotations
 
 import json
 from collections.abc import Callable, Iterable, Iterator
-from pathlib import Path
 from typing import Protocol
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from chronolex.functions.text import term_key
@@ -75,19 +74,58 @@ def summary(labels: DataFrame) -> DataFrame:
 
 
 class Labeler(Protocol):
-    """Answers a prompt with the text of a JSON object that has ``labels``."""
+    """Answers a prompt with the text of a JSON object that follows the schema (see ``response_schema``)."""
 
-    def __call__(self, prompt: str) -> str: ...
+    def __call__(self, prompt: str, schema: dict) -> str: ...
 
 
 class FileLabeler:
-    """Answers with the content of a file, for runs without a model."""
+    """Answers with the content of a file on any Hadoop path, for runs without a model; of several files with one after the other."""
 
-    def __init__(self, path: str):
-        self.path = Path(path)
+    def __init__(self, spark: SparkSession, *uris: str):
+        self.answers = [spark.read.text(u, wholetext=True).first()[0] for u in uris]
+        self.asked = 0
 
-    def __call__(self, prompt: str) -> str:
-        return self.path.read_text()
+    def __call__(self, prompt: str, schema: dict) -> str:
+        self.asked += 1
+        return self.answers[min(self.asked, len(self.answers)) - 1]
+
+
+def response_schema(ids: list[str]) -> dict:
+    """The JSON schema of an answer for a batch: one closed object for each topic, with nothing missing and nothing else."""
+    text = {"type": "string"}
+    fields = {
+        "topic_id": {"type": "string", "enum": ids}, "topic_type": {"type": "string", "enum": TOPIC_TYPES}, "confidence": {"type": "string", "enum": CONFIDENCES},
+        "representative_terms": {"type": "array", "items": text, "minItems": 5, "maxItems": 10},
+    }
+    fields |= {n: text for n in REQUIRED if n not in fields}
+    label = {"type": "object", "properties": fields, "required": [*fields], "additionalProperties": False}
+    labels = {"type": "array", "items": label, "minItems": len(ids), "maxItems": len(ids)}
+    return {"type": "object", "properties": {"labels": labels}, "required": ["labels"], "additionalProperties": False}
+
+
+def checked(spark: SparkSession, labels: list[dict], topics: list[dict]) -> tuple[list[dict], str | None]:
+    """The labels with their terms in the topics' own spelling, in the topics' order, and what is wrong with them (null: nothing).
+
+    The ids must be those of the topics, each once; then each label is judged by the rules of ``validate``.
+    """
+    if not isinstance(labels, list) or not all(isinstance(x, dict) for x in labels):
+        return [], "labels is not a list of objects"
+    order = [t["topic_id"] for t in topics]
+    if sorted(map(str, order)) != sorted(str(x.get("topic_id")) for x in labels):
+        return [], "the ids of the labels are not those of the topics"
+    types = "topic_id string, label_short string, label_long string, topic_type string, confidence string, rationale string, representative_terms array<string>"
+    names = [x.split()[0] for x in types.split(", ")]
+    given = spark.createDataFrame([tuple(x.get(n) for n in names) for x in labels], types)
+    words = spark.createDataFrame([(t["topic_id"], i, w) for t in topics for i, w in enumerate(t["words"])], "topic_id string, pos int, word string")
+    wrong = sorted((r["topic_id"], r["reason"]) for r in validate(given, words).collect() if r["reason"])
+    if wrong:
+        return [], "; ".join(f"{t}: {r}" for t, r in wrong)
+    own: dict[str, list] = {}
+    for r in resolve(given, words).orderBy("topic_id", "pos").collect():
+        own.setdefault(r["topic_id"], []).extend(r["resolved"])
+    out = [{n: x.get(n) for n in names} | {"representative_terms": own[x["topic_id"]]} for x in labels]
+    return sorted(out, key=lambda x: order.index(x["topic_id"])), None
 
 
 def prompt(topics: list[dict], known: list[dict]) -> str:
@@ -115,15 +153,30 @@ def batches(topics: Iterable[dict], size: int | None = None, max_chars: int | No
         yield batch
 
 
-def label_all(topics: list[dict], labeler: Labeler, check: Callable[[list[dict], list[dict]], str | None], size: int = 20) -> list[dict]:
-    """Labels of all topics: batch by batch, each with one chance of repair, earlier labels shown to later batches."""
+def _answer(labeler: Labeler, ask: str, batch: list[dict]):
+    try:
+        return json.loads(labeler(ask, response_schema([t["topic_id"] for t in batch])))["labels"], None
+    except (ValueError, TypeError, KeyError) as e:
+        return [], f"no JSON object with labels: {e}"
+
+
+def label_all(spark: SparkSession, topics: list[dict], labeler: Labeler, size: int | None = None, max_chars: int | None = 60_000, source: str = "model") -> list[dict]:
+    """Labels of all topics (topic_id, words): batch by batch, each with one chance of repair, earlier labels shown to later batches.
+
+    What can't be repaired ends the run. At the end all labels together are validated once more. Labels carry generated_by.
+    """
     done: list[dict] = []
-    for batch in batches(topics, size):
+    for batch in batches(topics, size, None if size else max_chars):
         ask = prompt(batch, done)
-        got = json.loads(labeler(ask))["labels"]
-        if wrong := check(got, batch):
-            got = json.loads(labeler(f"{ask}\nThe last answer was refused: {wrong}"))["labels"]
-            if wrong := check(got, batch):
+        got, wrong = _answer(labeler, ask, batch)
+        good, wrong = ([], wrong) if wrong else checked(spark, got, batch)
+        if wrong:
+            got, again = _answer(labeler, f"{ask}\nThe last answer was refused: {wrong}", batch)
+            good, wrong = ([], again) if again else checked(spark, got, batch)
+            if wrong:
                 raise ValueError(wrong)
-        done += got
-    return done
+        done += good
+    final, wrong = checked(spark, done, topics)
+    if wrong:
+        raise ValueError(wrong)
+    return [x | {"generated_by": source} for x in final]

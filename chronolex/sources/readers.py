@@ -3,7 +3,7 @@
 from __future__ import annotations
 
 import json
-from fnmatch import fnmatch
+from fnmatch import fnmatch, translate
 
 from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -24,9 +24,8 @@ def listing(spark: SparkSession, inputs: list[str], prefix: str | None = None, s
 
 
 def collections(names: DataFrame, pattern: str) -> DataFrame:
-    """Newspapers (column name) that match a shell pattern such as ``BNL/*``; * also spans slashes."""
-    regex = "".join({"*": ".*", "?": "."}.get(c, f"\\Q{c}\\E") for c in pattern)
-    return names.where(F.col("name").rlike(f"(?s)^{regex}$"))
+    """Newspapers (column name) that match a shell pattern such as ``BNL/*`` or ``[AB]*``; * also spans slashes."""
+    return names.where(F.col("name").rlike("^" + translate(pattern)))
 
 
 def matches(name: str, pattern: str) -> bool:
@@ -57,22 +56,32 @@ def char_table(spark: SparkSession, path: str) -> dict[str, str]:
     return {k: v or "" for k, v in table.items()}
 
 
-def parse_lingproc(lines: DataFrame, value: str = "value") -> DataFrame:
+def parse_lingproc(lines: DataFrame, value: str = "value", only_ci_id: bool = False) -> DataFrame:
     """Add doc (the parsed object, null if the line is none), status and ci_id to lines of JSON.
 
-    Status: ok, json_error (also blank lines) or no_id; an empty id counts as missing.
+    Status: ok, json_error (also blank lines) or no_id; an empty id counts as missing. The id is ci_id or else id, with
+    ``only_ci_id`` ci_id alone. JSON that is no object is an error that ends the query.
     """
-    doc = F.from_json(value, LINGPROC, {"mode": "PERMISSIVE"})
-    ok = F.try_parse_json(F.col(value)).isNotNull()
-    out = lines.withColumn("doc", F.when(ok, doc))
-    ci_id = F.coalesce(F.nullif("doc.ci_id", F.lit("")), F.nullif("doc.id", F.lit("")))
-    return out.withColumn("ci_id", ci_id).withColumn("status", F.when(~ok, "json_error").when(F.col("ci_id").isNull(), "no_id").otherwise("ok"))
+    line = F.col(value)
+    ok = F.try_parse_json(line).isNotNull()
+    other = F.raise_error(F.concat(F.lit("not a JSON object: "), F.left(line, F.lit(80)))).cast("boolean")
+    valid = F.when(ok, F.when(line.rlike(r"^\s*\{"), True).otherwise(other)).otherwise(False)
+    out = lines.withColumn("_valid", valid).withColumn("doc", F.when(F.col("_valid"), F.from_json(value, LINGPROC, {"mode": "PERMISSIVE"})))
+    ids = [F.nullif(c, F.lit("")) for c in ("doc.ci_id", *(() if only_ci_id else ("doc.id",)))]
+    status = F.when(~F.col("_valid"), "json_error").when(F.col("ci_id").isNull(), "no_id").otherwise("ok")
+    return out.withColumn("ci_id", F.coalesce(*ids)).withColumn("status", status).drop("_valid")
 
 
-def lingproc(spark: SparkSession, paths: list[str] | str) -> DataFrame:
-    """Documents (ci_id, sents, tsents) of JSON lines; lines with errors or without an id are skipped."""
-    good = parse_lingproc(spark.read.text(paths)).where("status = 'ok'")
-    return good.select("ci_id", "doc.sents", "doc.tsents")
+def numbered_lines(spark: SparkSession, paths: list[str] | str) -> DataFrame:
+    """Rows (value, file, line) of text files; line grows within a file, whatever its splits."""
+    at = F.struct(F.col("_metadata.file_block_start").alias("block"), F.monotonically_increasing_id().alias("i"))
+    return spark.read.text(paths).select("value", F.col("_metadata.file_path").alias("file"), at.alias("line"))
+
+
+def lingproc(spark: SparkSession, paths: list[str] | str, only_ci_id: bool = False) -> DataFrame:
+    """Documents (ci_id, sents, tsents, file, line) of JSON lines; lines with errors or without an id are skipped."""
+    good = parse_lingproc(numbered_lines(spark, paths), only_ci_id=only_ci_id).where("status = 'ok'")
+    return good.select("ci_id", "doc.sents", "doc.tsents", "file", "line")
 
 
 def parse_eligible(value: Column) -> tuple[Column, Column]:
@@ -88,22 +97,31 @@ def eligible(lines: DataFrame) -> DataFrame:
     return rows
 
 
+def head(spark: SparkSession, path: str, n: int) -> bytes:
+    """The first bytes of a file, of which nothing more is read."""
+    file = spark._jvm.org.apache.hadoop.fs.Path(path)
+    stream = file.getFileSystem(spark._jsc.hadoopConfiguration()).open(file)
+    try:
+        got = [stream.read() for _ in range(n)]
+    finally:
+        stream.close()
+    return bytes(b for b in got if b >= 0)
+
+
 def text_or_mislabelled(spark: SparkSession, paths: list[str]) -> DataFrame:
     """Lines of files, some of which are plain text in spite of the name .bz2.
 
-    The first bytes tell, before anything is read; plain files are read whole by Spark.
+    Each file's first bytes tell, before anything is read. Spark takes the codec from the name, so such a plain file is one row before it is cut into
+    lines, and can have 2 GB at most.
     """
-    heads = spark.read.format("binaryFile").load([p for p in paths if p.endswith(".bz2")] or paths[:0]) if any(p.endswith(".bz2") for p in paths) else None
-    plain = []
-    if heads is not None:
-        plain = [r["path"] for r in heads.where(~F.startswith("content", F.lit(b"BZh"))).select("path").collect()]
-    names = {p.rpartition("/")[2] for p in plain}
-    good = [p for p in paths if p.rpartition("/")[2] not in names]
+    plain = [p for p in paths if p.endswith(".bz2") and head(spark, p, 3) != b"BZh"]
+    good = [p for p in paths if p not in set(plain)]
     out = spark.read.text(good) if good else None
     if plain:
-        lines = spark.read.format("binaryFile").load(plain).select(F.explode(F.split(F.rtrim(F.col("content").cast("string"), F.lit("\n")), "\n")).alias("value"))
+        content = F.regexp_replace(F.col("content").cast("string"), r"\r?\n\z", "")
+        lines = spark.read.format("binaryFile").load(plain).where("length > 0").select(F.explode(F.split(content, r"\r?\n|\r")).alias("value"))
         out = lines if out is None else out.unionByName(lines)
-    return out
+    return out if out is not None else spark.createDataFrame([], "value string")
 
 
 def word_list(spark: SparkSession, path: str) -> DataFrame:
@@ -148,6 +166,11 @@ def topic_descriptions(lines: DataFrame) -> DataFrame:
     return rows.withColumn("words", F.when(F.size("words") > 0, F.col("words")).otherwise(F.raise_error(F.concat(F.lit("no words: "), F.col("topic_id"))).cast("array<string>")))
 
 
+def vocabulary(spark: SparkSession, path: str) -> DataFrame:
+    """Rows (lemma): the first column of a vocabulary, in lower case, each once."""
+    return words_of(spark.read.text(path)).withColumnRenamed("word", "lemma")
+
+
 def checksums(spark: SparkSession, paths: list[str]) -> DataFrame:
     """Rows (path, sha256) of files."""
     return spark.read.format("binaryFile").load(paths).select("path", F.sha2("content", 256).alias("sha256"))

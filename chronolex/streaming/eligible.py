@@ -19,8 +19,9 @@ def eligible_stream(
 
     def batch(lines: DataFrame, number: int) -> None:
         docs = parse_lingproc(lines).where("status = 'ok'").select("ci_id", "doc.sents", "doc.tsents")
-        toks = eligible.tokens(eligible.sentences(docs)).where(F.col("lg") == lang)
-        judged = eligible.judge(eligible.document_lemmas(eligible.lemmas(toks, pos, min_length, vocab)), *limits)
+        raws = eligible.raw_lemmas(pos=pos, lang=lang)
+        known = eligible.lookup(docs.select(F.explode(raws).alias("raw")), vocab, min_length)
+        judged = eligible.judge(eligible.document_lemmas(docs, known, raws), *limits)
         judged.where("reason is null").select("ci_id", "lemmas").write.mode("overwrite").parquet(f"{out}/batch={number}")
 
     lines = spark.readStream.text(folder)
