@@ -3,7 +3,9 @@
 from __future__ import annotations
 
 import tempfile
+from collections.abc import Iterator
 
+import numpy as np
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -39,6 +41,42 @@ def checkpoint(df: DataFrame) -> DataFrame:
     return df.checkpoint(eager=True)
 
 
+#: Bytes of a table, reckoned from its own rows, up to which it is broadcast; beyond, it is joined by a shuffle.
+BROADCAST_BYTES = 16_000_000
+
+
+def small(df: DataFrame, row_bytes: int) -> DataFrame:
+    """The table, marked for a broadcast if its rows, counted, take BROADCAST_BYTES at most."""
+    return F.broadcast(df) if df.count() * row_bytes <= BROADCAST_BYTES else df
+
+
+def slices(batch, at: int, rows: int = 256, size: int = 4_000_000) -> Iterator:
+    """Slices of an Arrow batch of so many rows and bytes of its text column ``at`` at most; a longer text is alone."""
+    import pyarrow.compute as pc
+
+    ends = np.cumsum(pc.fill_null(pc.binary_length(batch.column(at)), 0).to_numpy(zero_copy_only=False).astype(np.int64))
+    k = 0
+    while k < batch.num_rows:
+        n = int(np.searchsorted(ends, (ends[k - 1] if k else 0) + size, "right")) - k
+        n = max(1, min(rows, n))
+        yield batch.slice(k, n)
+        k += n
+
+
+def release(*memos) -> None:
+    """Empty memos and hand freed memory back to the system: a Python worker stays alive between tasks."""
+    import contextlib
+    import ctypes
+
+    import pyarrow as pa
+
+    for memo in memos:
+        memo.clear()
+    pa.default_memory_pool().release_unused()
+    with contextlib.suppress(OSError, AttributeError):
+        ctypes.CDLL("libc.so.6").malloc_trim(0)
+
+
 def let(value: Column, body) -> Column:
     """``body(value)`` with ``value`` evaluated once for each row.
 
