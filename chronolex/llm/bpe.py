@@ -11,6 +11,8 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from chronolex.llm.common import batched, slices
+
 #: Words that a Python worker remembers with their ids, and the longest that it remembers.
 MEMO_WORDS, MEMO_CHARS = 400_000, 64
 #: Documents that are encoded together.
@@ -75,7 +77,6 @@ class Codec:
         import regex
         import sentencepiece
 
-        self.tokens = np.array([*tokens, b""], dtype=object)
         self.whole = {t: i for i, t in enumerate(tokens)}
         self.split = regex.compile(pattern).findall
         self.model = sentencepiece.SentencePieceProcessor(model_proto=sentencepiece_model(tokens))
@@ -107,19 +108,30 @@ class Codec:
         get = (extra or self.memo).__getitem__
         return [b"".join(map(get, ws)) for ws in lists]
 
-    def decode(self, ids: np.ndarray) -> bytes:
-        return b"".join(self.tokens[ids].tolist())
+
+class Decoder:
+    """The bytes of each id: its piece in the model, mapped back from characters to bytes."""
+
+    def __init__(self, tokens: list[bytes]):
+        import sentencepiece
+
+        model = sentencepiece.SentencePieceProcessor(model_proto=sentencepiece_model(tokens))
+        to_bytes = {c: b for b, c in enumerate(byte_chars())}
+        pieces = [bytes(map(to_bytes.__getitem__, model.id_to_piece(i))) for i in range(len(tokens))]
+        self.table = np.array([*pieces, b""], dtype=object)
+
+    def decode(self, ids: np.ndarray) -> list[bytes]:
+        return self.table[ids].tolist()
 
 
-_codec: dict = {}
+#: What a worker keeps from one task to the next: vocabulary and pattern, and what was made of them.
+_kept: dict = {}
 
 
-def _get(tokens, pattern) -> Codec:
-    key = (len(tokens.value), pattern)
-    if key not in _codec:
-        _codec.clear()
-        _codec[key] = Codec(tokens.value, pattern)
-    return _codec[key]
+def _get(kind: type, *of):
+    if kind not in _kept or _kept[kind][0] != of:
+        _kept[kind] = (of, kind(*of))
+    return _kept[kind][1]
 
 
 def encode(df: DataFrame, tokens: list[bytes], pattern: str, text: str = "text", out: str = "ids") -> DataFrame:
@@ -133,16 +145,15 @@ def encode(df: DataFrame, tokens: list[bytes], pattern: str, text: str = "text",
     at = df.columns.index(text)
 
     def run(batches):
-        codec = _get(shared, pattern)
+        codec = _get(Codec, shared.value, pattern)
         for whole in batches:
-            for k in range(0, whole.num_rows, CHUNK):
-                batch = whole.slice(k, CHUNK)
+            for batch in slices(whole, at, CHUNK):
                 raw = codec.encode([t or "" for t in batch.column(at).to_pylist()])
                 ends = np.cumsum([0] + [len(x) // 4 for x in raw])
                 ids = pa.ListArray.from_arrays(pa.array(ends, pa.int32()), pa.array(np.frombuffer(b"".join(raw), "<i4")))
                 yield pa.RecordBatch.from_arrays([*batch.columns, ids], [*batch.schema.names, out])
 
-    return df.mapInArrow(run, T.StructType([*df.schema.fields, T.StructField(out, T.ArrayType(T.IntegerType()))]))
+    return batched(df).mapInArrow(run, T.StructType([*df.schema.fields, T.StructField(out, T.ArrayType(T.IntegerType()))]))
 
 
 def decode(df: DataFrame, tokens: list[bytes], ids: str = "ids", out: str = "decoded") -> DataFrame:
@@ -152,18 +163,18 @@ def decode(df: DataFrame, tokens: list[bytes], ids: str = "ids", out: str = "dec
     at = df.columns.index(ids)
 
     def run(batches):
-        table = np.array([*shared.value, b""], dtype=object)
+        codec = _get(Decoder, shared.value)
         for whole in batches:
             for k in range(0, whole.num_rows, CHUNK):
                 batch = whole.slice(k, CHUNK)
                 col = batch.column(at)
                 ends = np.asarray(col.offsets)
-                flat = table[np.asarray(col.values)[ends[0] : ends[-1]]].tolist()
+                flat = codec.decode(np.asarray(col.values)[ends[0] : ends[-1]])
                 ends = ends - ends[0]
                 got = pa.array([b"".join(flat[a:b]) for a, b in zip(ends, ends[1:])], pa.binary())
                 yield pa.RecordBatch.from_arrays([*batch.columns, got], [*batch.schema.names, out])
 
-    return df.mapInArrow(run, T.StructType([*df.schema.fields, T.StructField(out, T.BinaryType())]))
+    return batched(df).mapInArrow(run, T.StructType([*df.schema.fields, T.StructField(out, T.BinaryType())]))
 
 
 def digests(df: DataFrame, tokens: list[bytes], pattern: str) -> DataFrame:

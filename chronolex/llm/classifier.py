@@ -10,10 +10,12 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from chronolex.llm.common import batched, release, slices
+
 #: Buckets of the feature hash (a power of two); bucket 0 is the bias.
 BUCKETS = 1 << 18
 CHUNK = 256
-MEMO_WORDS, MEMO_CHARS = 400_000, 64
+MEMO_WORDS, MEMO_CHARS = 200_000, 64
 #: Characters that are words of their own.
 MARKS = "!#$%&()*+,-./:;<=>?@[]^_{|}~\""
 
@@ -23,11 +25,10 @@ _memo: dict[str, int] = {}
 def _hash_words(words: list[str]) -> np.ndarray:
     import xxhash
 
-    global _memo
     new = [w for w in set(words) if w not in _memo]
     if len(_memo) + len(new) > MEMO_WORDS:
-        _memo = {}
-        new = set(words)
+        _memo.clear()
+        new = list(set(words))
     for w in new:
         _memo[w] = xxhash.xxh64_intdigest(w.encode())
     out = np.fromiter(map(_memo.__getitem__, words), np.uint64, len(words))
@@ -128,7 +129,7 @@ def train(docs: DataFrame, labels: DataFrame, text: str = "text", label: str = "
         w = model.weights(slice(None))
         return pd.DataFrame({"weights": [w.astype("<f4").tobytes()]})
 
-    small = sample.mapInPandas(hashed, "at long, label int, one int, bucket binary, value binary")
+    small = batched(sample).mapInPandas(hashed, "at long, label int, one int, bucket binary, value binary")
     found = small.groupBy("one").applyInPandas(learn, "weights binary").collect()
     return np.frombuffer(bytes(found[0]["weights"]), "<f4").astype(float) if found else np.zeros(BUCKETS)
 
@@ -143,17 +144,22 @@ def score(df: DataFrame, weights: np.ndarray, text: str = "text", out: str = "sc
     at = df.columns.index(text)
 
     def run(batches):
+        w = shared.value
+        try:
+            yield from scored(batches, w)
+        finally:
+            release(_memo)
+
+    def scored(batches, w):
         import pyarrow as pa
 
-        w = shared.value
         for whole in batches:
-            for k in range(0, whole.num_rows, CHUNK):
-                batch = whole.slice(k, CHUNK)
+            for batch in slices(whole, at, CHUNK):
                 row, bucket, value = features([t or "" for t in batch.column(at).to_pylist()])
                 dot = np.bincount(row, w[bucket] * value, minlength=batch.num_rows) + w[0]
                 yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(1 / (1 + np.exp(-np.clip(dot, -35, 35))))], [*batch.schema.names, out])
 
-    return df.mapInArrow(run, T.StructType([*df.schema.fields, T.StructField(out, T.DoubleType())]))
+    return batched(df).mapInArrow(run, T.StructType([*df.schema.fields, T.StructField(out, T.DoubleType())]))
 
 
 def quality_labels(labels: DataFrame) -> DataFrame:

@@ -9,6 +9,8 @@ import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from chronolex.llm.common import batched, slices
+
 #: Components of a hypervector; letters of an n-gram are three.
 DIM = 512
 CHUNK = 256
@@ -100,7 +102,7 @@ def train(df: DataFrame, text: str = "text", lang: str = "lang") -> dict[str, np
         yield pd.DataFrame([(n, i, round(float(x) * 1e6)) for n, v in total.items() for i, x in enumerate(v)], columns=["lang", "i", "x"])
 
     rows = df.where(F.col(text).isNotNull() & F.col(lang).isNotNull()).select(F.col(text).alias("text"), F.col(lang).alias("lang"))
-    sums = rows.mapInPandas(part, "lang string, i int, x long").groupBy("lang", "i").agg(F.sum("x").alias("x"))
+    sums = batched(rows).mapInPandas(part, "lang string, i int, x long").groupBy("lang", "i").agg(F.sum("x").alias("x"))
     found: dict[str, np.ndarray] = {}
     for r in sums.collect():
         found.setdefault(r["lang"], np.zeros(DIM))[r["i"]] = r["x"]
@@ -121,8 +123,7 @@ def identify(df: DataFrame, prototypes: dict[str, np.ndarray], text: str = "text
         import pyarrow as pa
 
         for whole in batches:
-            for k in range(0, whole.num_rows, CHUNK):
-                batch = whole.slice(k, CHUNK)
+            for batch in slices(whole, whole.schema.get_field_index(text), CHUNK):
                 vec, has = bundles([t or "" for t in batch.column(batch.schema.get_field_index(text)).to_pylist()])
                 cos = vec @ unit.T / np.maximum(np.linalg.norm(vec, axis=1, keepdims=True), 1e-9)
                 best = cos.argmax(1)
@@ -133,4 +134,4 @@ def identify(df: DataFrame, prototypes: dict[str, np.ndarray], text: str = "text
 
     from pyspark.sql import types as T
 
-    return df.mapInArrow(run, T.StructType([*df.schema.fields, T.StructField("lang_pred", T.StringType()), T.StructField("score", T.DoubleType())]))
+    return batched(df).mapInArrow(run, T.StructType([*df.schema.fields, T.StructField("lang_pred", T.StringType()), T.StructField("score", T.DoubleType())]))

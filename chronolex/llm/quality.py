@@ -99,18 +99,21 @@ def assess(df: DataFrame, text: str = "text") -> DataFrame:
     clean = F.filter(F.split(t, "\n"), lambda x: ~x.rlike(NOT_SPACE) | line_passes(x))
     lost = F.aggregate(F.filter(lines, lambda x: ~line_passes(x)), F.lit(0).cast("long"), lambda a, x: a + _chars(x).cast("long"))
     named = ["n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", "lost_chars", "clean_text", "kept"]
-    found = df.drop(*named).withColumn("_counts", counts)
+    own = "_counts"
+    while own in df.columns:
+        own += "_"
+    found = df.drop(*named).withColumn(own, counts)
     found = found.withColumns(
         {
-            "n_words": F.col("_counts.n"),
+            "n_words": F.col(f"{own}.n"),
             "word_chars": _chars(t).cast("long"),
             "n_symbols": _count(t, SYMBOLS).cast("long"),
             "n_dup_lines": let(lines, lambda x: F.size(x) - F.size(F.array_distinct(x))).cast("long"),
-            "n_repeat_words": F.col("_counts.r"),
+            "n_repeat_words": F.col(f"{own}.r"),
             "lost_chars": lost,
             "clean_text": F.when(F.col(text).isNotNull(), F.array_join(clean, "\n")),
         }
-    ).drop("_counts")
+    ).drop(own)
     failed = (F.col("n_words") < 50) | (100 * F.col("n_repeat_words") > 50 * F.col("n_words"))
     found = found.withColumn("base_failed", failed)
     return found.withColumn("kept", ~F.col("base_failed") & (F.col("lost_chars") <= MAX_LOST * F.col("word_chars"))).select(*df.drop(*named).columns, *named)
