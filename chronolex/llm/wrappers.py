@@ -14,6 +14,8 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from chronolex.llm.common import batched, slices
+
 CHUNK = 256
 #: Wrappers of one host that a task of the first round of merging gets come from one in so many partitions.
 SALTS = 64
@@ -40,49 +42,68 @@ MARKED = re.compile(
     r"comments?|disqus|respond|breadcrumbs?|menu|nav|navbar|navigation|footer|masthead|toolbar|pagination|pager|login|signup|search|skip-link)(?:$|[\s_-])",
     re.I,
 )
-TOKEN = re.compile(r"<!--.*?(?:-->|\Z)|<[!?][^>]*(?:>|\Z)|<(/?)([a-zA-Z][a-zA-Z0-9:-]*)((?:[^>\"']|\"[^\"]*\"|'[^']*')*)>|<[/a-zA-Z][^>]*\Z", re.S)
+#: A tag's quoted values end before a blank, a slash or its end; where a quote stays open, the tag goes up to the next ``>``.
+TOKEN = re.compile(
+    r"<!--.*?(?:-->|\Z)|<[!?][^>]*(?:>|\Z)|<(/?)([a-zA-Z][a-zA-Z0-9:-]*+)((?:[^>\"']++|\"[^\"]*+\"(?=[\s/>])|'[^']*+'(?=[\s/>]))*+(?=>)|[^>]*+)(?:>|\Z)|</?\Z", re.S
+)
 ATTRIBUTE = re.compile(r"\b(class|id|role)\s*=\s*(?:\"([^\"]*)\"|'([^']*)'|([^\s>]+))", re.I)
 
 
 #: Numbers in class, id or role that may be a page's, as in post-17: they count as 0, so that pages have the same labels.
 PAGE_NUMBER = re.compile(r"[0-9]{2,}|(?<=[-_])[0-9]+")
+#: Elements inside so many others lie, for alignment, side by side in the last of these; no text is lost.
+DEPTH = 100
 
 
 class Node:
-    __slots__ = ("kids", "mark", "tag")
+    __slots__ = ("beside", "id", "kids", "label", "plain", "tag")
+
+    def __init__(self, tag: str, mark: str = "", name: str = "", ids: frozenset | None = None):
+        self.tag, self.id, self.kids = tag, name, []
+        #: Without the id, and with it where it is one of the host's, not a page's own.
+        self.plain = f"{tag}.{mark}" if mark else tag
+        self.label = f"{self.plain}#{name}" if name and (ids is None or text_key("#", name) in ids) else self.plain
+        self.beside = tag in ASIDE or bool((mark or name) and MARKED.search(f"{mark} {name}"))
 
-    def __init__(self, tag: str, mark: str = ""):
-        self.tag, self.mark, self.kids = tag, mark, []
 
-    @property
-    def label(self) -> str:
-        return f"{self.tag}.{self.mark}" if self.mark else self.tag
+def _attributes(raw: str) -> tuple[str, str]:
+    """Class and role, and id, page numbers as 0."""
+    if "=" not in raw:
+        return "", ""
+    found = [(k.lower(), PAGE_NUMBER.sub("0", a or b or c)) for k, a, b, c in ATTRIBUTE.findall(raw)]
+    return " ".join(v for k, v in found if k != "id"), " ".join(v for k, v in found if k == "id")
 
-    @property
-    def beside(self) -> bool:
-        return self.tag in ASIDE or bool(self.mark and MARKED.search(self.mark))
 
+def parse(page: str, ids: frozenset | None = None) -> Node:
+    """The tree of a page; children are nodes and texts (not decoded). Unclosed and stray tags are borne.
 
-def parse(page: str) -> Node:
-    """The tree of a page; children are nodes and texts (not decoded). Unclosed and stray tags are borne."""
+    ids: the keys of the ids that a host's pages share; others are no part of a label. Null: all are.
+    """
     root = Node("#root")
-    stack = [root]
+    stack: list[tuple[str, Node]] = [("#root", root)]
     at, low = 0, None
+
+    def close(k: int) -> None:
+        for tag, node in stack[k:]:
+            if len(stack) > DEPTH and tag in BLOCK and node.tag != tag:
+                node.kids.append(Node(tag))  # the end of a block that lies deeper
+        del stack[k:]
+
     while at < len(page):
         m = TOKEN.search(page, at)
         if not m:
-            stack[-1].kids.append(page[at:])
+            stack[-1][1].kids.append(page[at:])
             break
         if m.start() > at:
-            stack[-1].kids.append(page[at : m.start()])
+            stack[-1][1].kids.append(page[at : m.start()])
         at = m.end()
         tag = (m[2] or "").lower()
-        if not tag:
+        if not tag or not page[m.end() - 1] == ">":
             continue
         if m[1]:
             for k in range(len(stack) - 1, 0, -1):
-                if stack[k].tag == tag:
-                    del stack[k:]
+                if stack[k][0] == tag:
+                    close(k)
                     break
             continue
         closes, bounds = ({"p"}, BLOCK - {"p"}) if tag in BLOCK else (set(), set())
@@ -90,14 +111,13 @@ def parse(page: str) -> Node:
             closes, bounds = CLOSES[tag]
         if closes:
             for k in range(len(stack) - 1, 0, -1):
-                if stack[k].tag in closes:
-                    del stack[k:]
+                if stack[k][0] in closes:
+                    close(k)
                     break
-                if stack[k].tag in bounds:
+                if stack[k][0] in bounds:
                     break
-        mark = PAGE_NUMBER.sub("0", " ".join(a or b or c for _, a, b, c in ATTRIBUTE.findall(m[3]))) if "=" in m[3] else ""
-        node = Node(tag, mark)
-        stack[-1].kids.append(node)
+        node = Node(tag, *_attributes(m[3]), ids)
+        stack[-1][1].kids.append(node)
         if tag in RAW:
             low = low or page.lower()
             if len(low) != len(page):
@@ -107,15 +127,16 @@ def parse(page: str) -> Node:
             if tag == "title":
                 node.kids.append(page[m.end() : at])
             if end >= 0:
-                close = page.find(">", at)
-                at = len(page) if close < 0 else close + 1
+                shut = page.find(">", at)
+                at = len(page) if shut < 0 else shut + 1
         elif tag not in VOID and not m[3].endswith("/"):
-            stack.append(node)
+            inside = stack[-1][1]
+            stack.append((tag, node if len(stack) < DEPTH or node.beside and not inside.beside else inside))
     return root
 
 
-# A wrapper is a nested list [label, flags, kids]; flags: 1 optional, 2 repeated, 4 a text slot. A text is ["#text", flags,
-# value, chars, times]: the hash of a fixed value, or null for a slot.
+# A wrapper is a nested list [label, flags, kids]; flags: 1 optional, 2 repeated, 4 a text slot, 8 never part of an article. A text is
+# ["#text", flags, value, chars, times]: the hash of a fixed value, or null for a slot.
 
 
 def _fold(items: list) -> list:
@@ -149,26 +170,28 @@ def text_key(path: str, text: str) -> int:
 
 
 def text_keys(node: Node, path: str = "") -> set[int]:
-    """The keys of a page's texts, without what is never part of an article."""
+    """The keys of a page's texts, without what is never part of an article, and of its ids."""
     out: set[int] = set()
     for k in node.kids:
         if isinstance(k, Node):
+            if k.id:
+                out.add(text_key("#", k.id))
             if not k.beside:
-                out |= text_keys(k, f"{path}/{k.label}")
+                out |= text_keys(k, f"{path}/{k.plain}")
         elif k.strip():
             out.add(text_key(path, k))
     return out
 
 
-def generalise(node: Node, fixed: frozenset = frozenset(), path: str = "") -> list:
-    """A page's tree as a wrapper of this page; texts whose keys are in fixed have no weight."""
+def generalise(node: Node, fixed: frozenset = frozenset(), path: str = "", linked: bool = False) -> list:
+    """A page's tree as a wrapper of this page; links, and texts whose keys are in fixed, have no weight."""
     kids = []
     for k in node.kids:
         if isinstance(k, Node):
-            kids.append(generalise(k, fixed, f"{path}/{k.label}"))
+            kids.append(generalise(k, fixed, f"{path}/{k.plain}", linked or k.tag == "a"))
         elif k.strip():
-            kids.append(["#text", 0, xxhash.xxh64_intdigest(k.strip()), 0 if fixed and text_key(path, k) in fixed else len(k), 1])
-    return [node.label, 0, _fold(kids)]
+            kids.append(["#text", 0, xxhash.xxh64_intdigest(k.strip()), 0 if linked or fixed and text_key(path, k) in fixed else len(k), 1])
+    return [node.label, 8 if node.beside else 0, _fold(kids)]
 
 
 def merge(a: list, b: list) -> list:
@@ -202,16 +225,14 @@ def merge(a: list, b: list) -> list:
     return [a[0], a[1] | b[1], _fold(kids)]
 
 
-def _beside(label: str) -> bool:
-    tag, _, mark = label.partition(".")
-    return tag in ASIDE or bool(mark and MARKED.search(mark))
-
-
 def _weight(w: list) -> int:
-    """Characters of the texts below that aren't the host's own, without what is never part of an article."""
+    """Characters of the slots below, without links, what a host's pages share and what is never part of an article.
+
+    A text that all pages aligned here have in common is none; one of a single page may be a slot.
+    """
     if w[0] == "#text":
-        return w[3]
-    return 0 if _beside(w[0]) else sum(_weight(k) for k in w[2])
+        return w[3] if w[1] & 4 or w[4] == 1 else 0
+    return 0 if w[1] & 8 else sum(_weight(k) for k in w[2])
 
 
 def main_path(wrapper: list) -> list[str]:
@@ -223,11 +244,12 @@ def main_path(wrapper: list) -> list[str]:
 
     def look(w: list, path: list[str]) -> None:
         for k in w[2]:
-            if k[0] == "#text" or _beside(k[0]):
+            if k[0] == "#text" or k[1] & 8:
                 continue
             here = path if k[0] == "()" else [*path, k[0]]
-            if k[0].partition(".")[0] in ("article", "main"):
-                named.append((k[0].partition(".")[0] == "article", _weight(k), here))
+            tag = re.split("[.#]", k[0])[0]
+            if tag in ("article", "main"):
+                named.append((tag == "article", _weight(k), here))
             look(k, here)
 
     look(wrapper, [])
@@ -269,38 +291,39 @@ def blocks(node: Node, fixed: frozenset = frozenset(), path: str = "") -> list[s
                 flush()
             elif k.tag in BLOCK:
                 flush()
-                walk(k, f"{path}/{k.label}")
+                walk(k, f"{path}/{k.plain}")
                 flush()
             else:
-                walk(k, f"{path}/{k.label}")
+                walk(k, f"{path}/{k.plain}")
 
     walk(node, path)
     flush()
     return out
 
 
-def main_text(page: str | None, path: list[str] | None, fixed: frozenset = frozenset()) -> str:
+def main_text(page: str | None, path: list[str] | None, fixed: frozenset | None = None) -> str:
     """The text of the elements at a path; without a path, or where a page lacks it, by the page's own wrapper.
 
     A page of nothing but fixed texts keeps them.
     """
     if not page:
         return ""
-    root = parse(page)
+    root = parse(page, fixed)
+    keys = fixed or frozenset()
 
-    def at(labels: list[str]) -> list[Node]:
-        found = [root]
+    def at(labels: list[str]) -> list[tuple[Node, str]]:
+        found = [(root, "")]
         for label in labels:
-            found = [k for n in found for k in n.kids if isinstance(k, Node) and k.label == label]
+            found = [(k, f"{above}/{k.plain}") for n, above in found for k in n.kids if isinstance(k, Node) and k.label == label]
         return found
 
     found = at(path) if path else []
     if not found:
-        path = main_path(generalise(root, fixed))
-        found = at(path)
-    above = "".join(f"/{label}" for label in path)
-    text = "\n".join(b for n in found for b in blocks(n, fixed, above))
-    return text if text or not fixed else main_text(page, path)
+        found = at(main_path(generalise(root, keys)))
+    text = "\n".join(b for n, above in found for b in blocks(n, keys, above))
+    if text or not keys:
+        return text
+    return (path and "\n".join(b for n, above in found for b in blocks(n, frozenset(), above))) or main_text(page, None)
 
 
 def host_of(url: str):
@@ -322,7 +345,7 @@ def fixed_texts(df: DataFrame, url: str = "url", page: str = "html") -> DataFram
         yield pd.DataFrame([(*k, n) for k, n in found.items()], columns=["host", "key", "n"])
 
     pages = df.where(F.col(page).isNotNull()).select(host_of(url).alias("host"), F.col(page).alias("html"))
-    total = pages.mapInPandas(count, "host string, key long, n long").groupBy("host", "key").agg(F.sum("n").alias("n"))
+    total = batched(pages).mapInPandas(count, "host string, key long, n long").groupBy("host", "key").agg(F.sum("n").alias("n"))
     # A row that can't be most of the pages of a host needs no join; key 0 has the number of pages.
     often = total.where(F.col("n") >= FIXED_PAGES)
     keyed = often.groupBy("host").agg(F.max(F.when(F.col("key") == 0, F.col("n"))).alias("pages")).where("pages is not null")
@@ -343,7 +366,8 @@ def infer(df: DataFrame, url: str = "url", page: str = "html", fixed: DataFrame
         found: dict[str, list] = {}
         for pdf in batches:
             for host, text, keys in zip(pdf["host"], pdf["html"], pdf["fixed"]):
-                w = generalise(parse(text), frozenset() if keys is None else frozenset(keys))
+                keys = None if keys is None else frozenset(keys)
+                w = generalise(parse(text, keys), keys or frozenset())
                 found[host] = merge(found[host], w) if host in found else w
         rows = [(h, TaskContext.get().partitionId() % SALTS, json.dumps(w)) for h, w in found.items()]
         yield pd.DataFrame(rows, columns=["host", "salt", "wrapper"])
@@ -364,33 +388,34 @@ def infer(df: DataFrame, url: str = "url", page: str = "html", fixed: DataFrame
 def extract(df: DataFrame, url: str = "url", page: str = "html", out: str = "text") -> DataFrame:
     """Append the main text of each page; a null or empty page has the empty text.
 
-    Pages without a host (a null or odd url) form one group. An input column of that name is replaced, all others pass through.
+    Pages without a host (a null or odd url) form one group. An input column of that name is replaced, all others pass through, whatever their names.
     """
     from chronolex.llm.common import checkpoint
 
     def decide(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for pdf in batches:
-            yield pd.DataFrame({"_host": pdf["host"], "_path": [main_path(json.loads(w)) for w in pdf["wrapper"]]})
+            yield pd.DataFrame({"host": pdf["host"], "path": [main_path(json.loads(w)) for w in pdf["wrapper"]]})
 
     df = df.drop(out)
-    fixed = checkpoint(fixed_texts(df, url, page))
+    names = df.columns
+    rows = df.select(*[F.col(f"`{n}`").alias(f"c{i}") for i, n in enumerate(names)])
+    url, html_page = f"c{names.index(url)}", f"c{names.index(page)}"
+    fixed = checkpoint(fixed_texts(rows, url, html_page))
     size = fixed.agg(F.sum(F.length("host") + 8 * F.size("fixed") + 64)).first()[0] or 0
     fixed = F.broadcast(fixed) if size <= BROADCAST_BYTES else fixed
-    paths = infer(df, url, page, fixed).mapInPandas(decide, "_host string, _path array<string>")
-    paths = checkpoint(paths.join(fixed.withColumnsRenamed({"host": "_host", "fixed": "_fixed"}), "_host", "left"))
-    size += paths.agg(F.sum(F.length("_host") + F.length(F.concat_ws("", "_path")) + 64)).first()[0] or 0
-    keyed = df.withColumn("_host", host_of(url)).join(F.broadcast(paths) if size <= BROADCAST_BYTES else paths, "_host", "left").select(*df.columns, "_path", "_fixed")
-    names = df.columns
+    paths = infer(rows, url, html_page, fixed).mapInPandas(decide, "host string, path array<string>")
+    paths = checkpoint(paths.join(fixed, "host", "left"))
+    size += paths.agg(F.sum(F.length("host") + F.length(F.concat_ws("", "path")) + 64)).first()[0] or 0
+    keyed = rows.withColumn("host", host_of(url)).join(F.broadcast(paths) if size <= BROADCAST_BYTES else paths, "host", "left").select(*rows.columns, "path", "fixed")
     at = names.index(page)
 
     def run(batches):
         import pyarrow as pa
 
         for whole in batches:
-            for k in range(0, whole.num_rows, CHUNK):
-                batch = whole.slice(k, CHUNK)
+            for batch in slices(whole, at, CHUNK):
                 pages, paths, fixed = (batch.column(c).to_pylist() for c in (at, batch.num_columns - 2, batch.num_columns - 1))
-                texts = [main_text(p, w, frozenset(x or ())) for p, w, x in zip(pages, paths, fixed)]
+                texts = [main_text(p, w, None if x is None else frozenset(x)) for p, w, x in zip(pages, paths, fixed)]
                 yield pa.RecordBatch.from_arrays([*batch.columns[:-2], pa.array(texts, pa.string())], [*names, out])
 
-    return keyed.mapInArrow(run, T.StructType([*df.schema.fields, T.StructField(out, T.StringType())]))
+    return batched(keyed).mapInArrow(run, T.StructType([*df.schema.fields, T.StructField(out, T.StringType())]))
