@@ -13,10 +13,10 @@ import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from chronolex.llm.common import checkpoint
+from chronolex.llm.common import batched, checkpoint
 
 #: Words that a Python worker remembers with their ids, and the longest that it remembers.
-MEMO_WORDS, MEMO_CHARS = 1_000_000, 64
+MEMO_WORDS, MEMO_CHARS = 400_000, 64
 CHUNK = 256
 #: Closing marks that are cut from words.
 MARKS = b".,;:!?#%$*&|)"
@@ -29,7 +29,8 @@ PIECES = "doc_id long, start long, length long, ids_crc32 long, doc_tokens long,
 class WordTokenizer:
     """Token ids (little-endian uint32) of texts, by a tokenizer that drops white space.
 
-    No token spans ASCII white space, so the words between are encoded once and remembered.
+    No token spans ASCII white space, so the words between are encoded once and remembered. Strings of special tokens in a
+    text are those tokens, as the tokenizer has it by default.
     """
 
     def __init__(self, spec: str):
@@ -37,7 +38,6 @@ class WordTokenizer:
         from tokenizers import Tokenizer
 
         self.model = Tokenizer.from_str(spec)
-        self.model.encode_special_tokens = True  # their strings in a text are ordinary text
         end = json.loads(spec)["model"].get("end_of_word_suffix") or "\0"
         self.closes = np.zeros(max(self.model.get_vocab().values()) + 1, bool)
         self.closes[[i for t, i in self.model.get_vocab().items() if t.endswith(end)]] = True
@@ -63,13 +63,13 @@ class WordTokenizer:
     def _learn(self, new: list[bytes]) -> dict[bytes, bytes]:
         """Ids of words, each cut into a stem and closing marks, where a cut between tokens is sure.
 
-        The tokenizer cuts between a letter or digit and marks that follow, none of which is an apostrophe here, and
-        it takes ASCII capitals as small letters.
+        The tokenizer cuts between a letter or digit and marks that follow, none of which is an apostrophe here. Only ASCII and
+        Latin-1 letters count: others may end in a combining mark in lower case.
         """
         cut = []
         for w in new:
             stem = w.rstrip(MARKS)
-            if len(stem) < len(w) and stem and (stem[-1:].isalnum() or stem[-1] >= 128 and stem[-4:].decode(errors="ignore")[-1:].isalpha()):
+            if len(stem) < len(w) and stem and (stem[-1:].isalnum() or len(stem) > 1 and stem[-2] == 0xC3 and stem[-1] not in (0x97, 0xB7)):
                 cut.append((stem, w[len(stem) :]))
             else:
                 cut.append((w, b""))
@@ -86,8 +86,14 @@ class WordTokenizer:
                 stems.pop(p, None)
         return learnt
 
+    @staticmethod
+    def _words(text: bytes) -> list[bytes]:
+        """Words, A-Z as small letters, which the tokenizer does as well; but it composes a capital with a mark that follows
+        and looks for special tokens before that, so texts with combining marks or ``<|`` stay as they are."""
+        return (text if b"<|" in text or b"\xcc" in text or b"\xcd" in text else text.lower()).split()
+
     def encode(self, texts: list[str]) -> list[bytes]:
-        lists = [t.encode().lower().split() for t in texts]  # A-Z only, which the tokenizer does as well
+        lists = [self._words(t.encode()) for t in texts]
         memo = self.memo
         new = [w for w in set().union(*lists) if w not in memo]
         if new:
@@ -101,15 +107,14 @@ class WordTokenizer:
         return out
 
 
-_tokenizer: dict = {}
+_tokenizer: list = ["", None]
 
 
 def _get(shared) -> WordTokenizer:
-    key = zlib.crc32(shared.value.encode())
-    if key not in _tokenizer:
-        _tokenizer.clear()
-        _tokenizer[key] = WordTokenizer(shared.value)
-    return _tokenizer[key]
+    """The tokenizer of this worker, which keeps it from one task to the next."""
+    if _tokenizer[0] != shared.value:
+        _tokenizer[:] = shared.value, WordTokenizer(shared.value)
+    return _tokenizer[1]
 
 
 class Packer:
@@ -248,7 +253,7 @@ def pack(
 
         return merge
 
-    made = checkpoint(docs.mapInPandas(first, schema))
+    made = checkpoint(batched(docs).mapInPandas(first, schema))
     done, left = [made.where("not open")], made.where("open")
     parts = (made.agg(F.max("part")).first()[0] or 0) + 1
     level = 0
