@@ -8,6 +8,8 @@ from pyspark.sql import functions as F
 from chronolex.llm.common import checkpoint, let
 
 KINDS = ["email", "ip", "card", "phone"]
+#: Kinds that only the bootstrap finds, in their order after the others.
+LEARNT = ["secret"]
 #: The contract's patterns in forms that neither back-track nor recurse on long runs: a run of characters is tried from its
 #: start, or from the end of the last match inside it, and taken whole.
 PATTERNS = {
@@ -26,7 +28,12 @@ SHAPES = {
     "ip": r"^[0-9]{1,3}(\.[0-9]{1,3}){2,3}$",
     "card": r"^[0-9][0-9\x20.-]{10,22}[0-9]$",
     "phone": r"^[+(]?[0-9][0-9\x20().-]{5,18}[0-9]$",
+    "secret": r"^(?=[^0-9]*+[0-9])(?=[^A-Za-z]*+[A-Za-z])[A-Za-z0-9_+.-]{16,}$",
 }
+#: Long mixes of letters and digits are seeds of secrets: they teach patterns, but are found themselves only in the context of a learnt one.
+SEED = r"^(?=[^0-9]*+[0-9])(?=[^A-Za-z]*+[A-Za-z])[A-Za-z0-9]{32,}$"
+#: The word before an identifier, with the marks between that stand alone, as in ``key = "``.
+BEFORE = r"(\S*[\p{L}\p{N}]\S*(?:\s+[^\p{L}\p{N}\s]+)*|\S+)\s*$"
 #: Code points of context that are looked at on each side.
 CONTEXT = 48
 SPAN = "array<struct<start:int,end:int,value:string,left:string,right:string>>"
@@ -47,7 +54,7 @@ def matches(text: Column, pattern: str) -> Column:
         def step(acc: Column, i: Column) -> Column:
             start = acc["at"] + F.length(F.get(p, i))
             end = start + F.length(F.get(m, i))
-            left = _word(F.right(F.get(p, i), F.lit(CONTEXT)), r"(\S+)\s*$")
+            left = _word(F.right(F.get(p, i), F.lit(CONTEXT)), BEFORE)
             right = _word(F.left(F.get(p, i + 1), F.lit(CONTEXT)), r"^\s*(\S+)")
             span = F.struct(start.alias("start"), end.alias("end"), F.get(m, i).alias("value"), left.alias("left"), right.alias("right"))
             return F.struct(end.alias("at"), F.concat(acc["out"], F.array(span)).alias("out"))
@@ -121,30 +128,33 @@ def bootstrap(occurrences: DataFrame, rounds: int = 3, min_seeds: int = 4, min_c
     occurrences: rid, kind (null: a candidate), start, end, value, left, right. A pattern is a pair of the words around an
     identifier, or the word before it. Patterns and values form a graph: in each round a pattern's confidence in a kind is the
     share of the kind's values among all its values, weighed down where there are few; a candidate's is that of the
-    complement of all its patterns failing; those over the threshold are labelled and count in the next round.
+    complement of all its patterns failing; those over the threshold are labelled and count in the next round. Seeds of
+    the kinds in LEARNT are candidates as well.
     """
+    kinds = KINDS + LEARNT
     both = F.array(F.concat(F.lit("L "), F.col("left")), F.concat(F.lit("B "), F.col("left"), F.lit(" "), F.col("right")))
     edges = occurrences.where("left <> ''").select("rid", "start", "end", "kind", "value", F.explode(both).alias("pattern"))
     # One row for a pattern, value and kind, however often it occurs.
     graph = checkpoint(edges.groupBy("pattern", "value", "kind").agg(F.count("*").alias("n")))
+    open_ = F.col("kind").isNull() | F.col("kind").isin(LEARNT)
     learnt = None
     for _ in range(rounds):
         known = graph if learnt is None else graph.join(learnt, "value", "left").withColumn("kind", F.coalesce("kind", "new")).drop("new")
-        totals = known.groupBy("pattern").agg(F.count("*").alias("all"), *[F.sum((F.coalesce("kind", F.lit("")) == k).cast("int")).alias(k) for k in KINDS])
-        split = F.explode(F.array(*[F.struct(F.lit(k).alias("as"), F.col(k).alias("hits")) for k in KINDS]))
+        totals = known.groupBy("pattern").agg(F.count("*").alias("all"), *[F.sum((F.coalesce("kind", F.lit("")) == k).cast("int")).alias(k) for k in kinds])
+        split = F.explode(F.array(*[F.struct(F.lit(k).alias("as"), F.col(k).alias("hits")) for k in kinds]))
         sure = (
             totals.select("pattern", "all", split.alias("s"))
             .select("pattern", F.col("s.as").alias("as"), F.col("s.hits").alias("hits"), (F.col("s.hits") / (F.col("all") + 1)).alias("confidence"))
             .where((F.col("hits") >= min_seeds) & (F.col("confidence") >= 0.5))
         )
         shape = F.lit(False)
-        for k in KINDS:
+        for k in kinds:
             shape |= (F.col("as") == k) & F.col("value").rlike(SHAPES[k])
-        votes = graph.where("kind is null").join(sure, "pattern").where(shape)
+        votes = graph.where(open_).drop("kind").distinct().join(sure, "pattern").where(shape)
         per = votes.groupBy("value", "as").agg((1 - F.exp(F.sum(F.log1p(-F.least(F.col("confidence"), F.lit(0.999)))))).alias("score"))
         best = per.where(F.col("score") >= min_confidence).groupBy("value").agg(F.max_by("as", F.struct("score", "as")).alias("new"))
         learnt = checkpoint(best)
-    found = occurrences.where("kind is null").join(learnt, "value")
+    found = occurrences.where(open_).join(learnt, "value")
     return found.select("rid", F.col("new").alias("kind"), "start", "end")
 
 
@@ -161,10 +171,11 @@ def find(df: DataFrame, text: str = "text", keep: list[str] | None = None, round
     rows = checkpoint(rows.select("rid", *names, "base", "more"))
     span = ["start", "end", "value", "left", "right"]
     seeds = rows.select("rid", F.explode("base").alias("x")).select("rid", "x.kind", *[f"x.{n}" for n in span])
-    others = rows.select("rid", F.explode("more").alias("x")).select("rid", F.lit(None).cast("string").alias("kind"), *[f"x.{n}" for n in span])
+    others = rows.select("rid", F.explode("more").alias("x")).select("rid", *[f"x.{n}" for n in span])
+    others = others.withColumn("kind", F.when(F.col("value").rlike(SEED), "secret"))
     added = bootstrap(seeds.unionByName(others), rounds)
     added = added.groupBy("rid").agg(F.collect_list(F.struct("kind", "start", "end")).alias("added"))
-    order = F.create_map(*[F.lit(x) for i, k in enumerate(KINDS) for x in (k, i)])
+    order = F.create_map(*[F.lit(x) for i, k in enumerate(KINDS + LEARNT) for x in (k, i)])
 
     def ordered(spans: Column) -> Column:
         keyed = F.array_sort(F.transform(spans, lambda x: F.struct(order[x["kind"]].alias("at"), x["start"].alias("start"), x["end"].alias("end"), x["kind"].alias("kind"))))
@@ -177,7 +188,7 @@ def find(df: DataFrame, text: str = "text", keep: list[str] | None = None, round
 
 
 def digests(df: DataFrame) -> DataFrame:
-    """Counts by kind of the base spans, their hash, and all spans as text, for a table with base_spans, spans and doc_id."""
+    """Counts by kind of the base spans, their hash, all spans as text and their number, for a table with base_spans, spans and doc_id."""
 
     def said(spans: Column) -> Column:
         return F.array_join(F.transform(spans, lambda x: F.concat_ws(":", x["kind"], x["start"].cast("string"), x["end"].cast("string"))), ",")
@@ -186,7 +197,7 @@ def digests(df: DataFrame) -> DataFrame:
         return F.size(F.filter("base_spans", lambda x: x["kind"] == kind)).cast("long").alias(f"n_{kind}")
 
     counts = [count(k) for k in KINDS]
-    return df.select("doc_id", *counts, F.sha2(said(F.col("base_spans")).cast("binary"), 256).alias("base_sha256"), said(F.col("spans")).alias("spans"))
+    return df.select("doc_id", *counts, F.sha2(said(F.col("base_spans")).cast("binary"), 256).alias("base_sha256"), said(F.col("spans")).alias("spans"), F.size("spans").cast("long").alias("n_spans"))
 
 
 def redact(text: Column, spans: Column) -> Column:
