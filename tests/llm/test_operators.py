@@ -2,10 +2,15 @@
 
 import hashlib
 import json
+import random
+import re
 import zlib
+from collections import Counter
 
 import numpy as np
 import pytest
+import xxhash
+from pyspark.sql import functions as F
 
 from chronolex.llm import bpe, embeddings, langid, packing, pii, quality, simhash, substrings, wrappers
 
@@ -40,14 +45,33 @@ def test_bpe(spark, docs):
     assert bpe.digests(docs.limit(0), tokens, P.PATTERN).count() == 0
 
 
+def plain_quality(t):
+    """The base counts by a plain loop."""
+    t = t or ""
+    ws = re.findall(r"[^\x20\x09-\x0D]+", t)
+    wins = Counter(tuple(ws[k : k + 3]) for k in range(len(ws) - 2))
+    repeated = {p for k in range(len(ws) - 2) if wins[tuple(ws[k : k + 3])] > 1 for p in (k, k + 1, k + 2)}
+    lines = [x for x in t.split("\n") if re.search(r"[^\x20\x09-\x0D]", x)]
+    failed = len(ws) < 50 or 100 * len(repeated) > 50 * len(ws)
+    return len(ws), sum(map(len, ws)), sum(t.count(c) for c in "#*$%&|<>"), len(lines) - len(set(lines)), len(repeated), failed
+
+
 def test_quality(spark, docs):
-    got = {(r["doc_id"], r["text"]): r for r in quality.assess(docs).collect()}
-    for (_, t), r in got.items():
-        ws = (t or "").split()
-        wins = [tuple(ws[k : k + 3]) for k in range(len(ws) - 2)]
-        repeated = {p for k, w in enumerate(wins) if wins.count(w) > 1 for p in (k, k + 1, k + 2)} if len(wins) < 500 else set(range(len(ws)))
-        assert (r["n_words"], r["n_repeat_words"]) == (len(ws) if " " not in (t or "") else r["n_words"], len(repeated))
-    assert got[6, TEXTS[5][1]]["kept"] in (True, False) and not got[3, None]["kept"]
+    prose = [" ".join(f"word{(i * 7 + j) % 90}" for j in range(i)) for i in range(0, 120, 13)]
+    odd = ["a\u00a0b c\u2003d " * 20, "x | y > z » q\n" * 3, "é#*$ &|<>\u000b%\r\n\x0c" * 9, "same line here\nsame line here\n\n \nother", "🙂 🙂 🙂 🙂"]
+    rows = spark.createDataFrame([(i, t) for i, t in enumerate(prose + odd)], "doc_id long, text string")
+    for table in (docs.select("doc_id", "text"), rows):
+        got = quality.assess(table).collect()
+        assert len(got) == table.count()
+        for r in got:
+            counts = (r["n_words"], r["word_chars"], r["n_symbols"], r["n_dup_lines"], r["n_repeat_words"], r["base_failed"])
+            assert counts == plain_quality(r["text"]) and not (r["kept"] and r["base_failed"])
+    text = "".join(" ".join(f"{w}{i}" for w in "Ein guter Satz steht hier und endet so wie er soll".split()) + ".\n" for i in range(9))
+    cases = [(text, True), (text + "Home | News > Sport » Wetter | Kontakt\n" * 2 + "We use cookies.", True), (text + "ein langer satz ganz ohne zeichen der nicht endet und immer weiter geht bis zum schluss \n" * 9, False)]
+    got = quality.assess(spark.createDataFrame([(t,) for t, _ in cases], "text string")).collect()
+    assert {r["text"]: r["kept"] for r in got} == dict(cases) and all(r["clean_text"].startswith(text.rstrip()) for r in got)
+    clash = rows.select("text", F.lit(1).alias("_counts"), F.lit(2).alias("n_words"), F.lit(3).alias("kept"))
+    assert quality.assess(clash).columns[:2] == ["text", "_counts"] and quality.assess(clash).count() == rows.count() and quality.assess(rows.limit(0)).count() == 0
 
 
 def test_language(spark):
@@ -100,35 +124,131 @@ def test_substrings_far_places(spark):
     assert got == {(1, 1, 61, False, 1), (2, far, far + 60, True, 1)}
 
 
-def test_embeddings(spark):
-    rng = np.random.default_rng(1)
-    base = rng.normal(size=(30, 8))
-    vecs = np.concatenate([base, base[:10] + 0.05 * rng.normal(size=(10, 8)), base[:5]]).astype(np.float32)
-    rows = [(i, v.tolist(), i % 2) for i, v in enumerate(vecs)]
-    rows += [(100, None, 0), (101, [0.0] * 8, 0), (102, [float("nan")] * 8, 0), (103, vecs[0].tolist(), None), (104, [], 0)]
-    got = {r["vec_id"]: r for r in embeddings.components(spark.createDataFrame(rows, "vec_id long, embedding array<float>, label int")).collect()}
+def plain_links(vecs, label, least=0.93):
     unit = vecs.astype(float) / np.linalg.norm(vecs.astype(float), axis=1)[:, None]
-    near = (unit @ unit.T >= 0.93) & (np.arange(45)[:, None] % 2 == np.arange(45) % 2) & ~np.eye(45, dtype=bool)
-    reach = np.linalg.matrix_power(near.astype(int) + np.eye(45, dtype=int), 45) > 0
-    for i in range(45):
-        assert (got[i]["n_links"], got[i]["component_id"]) == (near[i].sum(), np.flatnonzero(reach[i])[0])
-    assert all((got[i]["n_links"], got[i]["component_id"], got[i]["kept"]) == (0, i, True) for i in range(100, 105))
+    return (unit @ unit.T >= least) & (label[:, None] == label) & ~np.eye(len(vecs), dtype=bool)
+
+
+def clustered(rng, n, dim):
+    """Random vectors, near ones at distances about the threshold, and copies."""
+    base = rng.normal(size=(n, dim))
+    near = np.concatenate([base[: n // 2] + s * np.linalg.norm(base[0]) / dim**0.5 * rng.normal(size=(n // 2, dim)) for s in (0.05, 0.2, 0.3, 0.38)])
+    return np.concatenate([base, near, base[: n // 4] * 3]).astype(np.float32)
+
+
+@pytest.mark.parametrize("tile, dim", [(4096, 8), (16, 16), (8, 5), (5, 64)])
+def test_embeddings(spark, monkeypatch, tile, dim):
+    """Against all pairs, with one cell and with many cells of several chunks, over one and over all coordinates of a block."""
+    monkeypatch.setattr(embeddings, "TILE", tile)
+    monkeypatch.setattr(embeddings, "STEP", 7)
+    rng = np.random.default_rng(tile)
+    vecs = clustered(rng, 40, dim)
+    label = np.arange(len(vecs)) % 7 // 5
+    rows = [(int(i), v.tolist(), int(x)) for i, (v, x) in enumerate(zip(vecs, label))]
+    rows += [(1000, None, 0), (1001, [0.0] * dim, 0), (1002, [float("nan")] * dim, 0), (1003, vecs[0].tolist(), None), (1004, [], 0), (1005, [float("inf")] * dim, 0), (1006, [None] * dim, 0)]
+    table = spark.createDataFrame(rows, "vec_id long, embedding array<float>, label int")
+    got = {r["vec_id"]: r for r in embeddings.components(table).collect()}
+    near = plain_links(vecs, label)
+    reach = classes(list(zip(*np.nonzero(near))), len(vecs))
+    assert near.sum() > 100 and len(got) == len(rows)
+    for i in range(len(vecs)):
+        assert (got[i]["n_links"], got[i]["component_id"], got[i]["kept"]) == (near[i].sum(), reach[i], reach[i] == i)
+    assert all((got[i]["n_links"], got[i]["component_id"], got[i]["kept"]) == (0, i, True) for i in range(1000, 1007))
+    assert embeddings.components(table.limit(0)).count() == 0
+
+
+def test_embeddings_cells():
+    """Of two rows within the budget one finds the other's cell, or they share theirs."""
+    rng = np.random.default_rng(2)
+    x = rng.normal(size=(300, 4))
+    for levels in (0, 1, 4, 7, 12):
+        edges = [np.unique(np.quantile(x[:, c], np.arange(1, 1 << h) / (1 << h))) if h else np.zeros(0) for c, h in enumerate(embeddings.halvings(levels, 4))]
+        row, cell, home = embeddings.cells_within(x, edges, 0.3)
+        own = dict(zip(row[home].tolist(), cell[home].tolist()))
+        probes = set(zip(row[~home].tolist(), cell[~home].tolist()))
+        assert sorted(own) == list(range(300)) and len(probes) == (~home).sum()
+        for i, j in zip(*np.nonzero(((x[:, None] - x) ** 2).sum(2) <= 0.3)):
+            assert own[i] == own[j] or ((i, own[j]) in probes) != ((j, own[i]) in probes)
+
+
+def test_embeddings_repeated_keys(spark):
+    """Vectors under one key have their own links; doubles are not cut to floats; labels are compared as they are."""
+    e1, e2 = [1.0, 0.0, 0.0], [0.0, 1.0, 0.0]
+    rows = [(5, e1, "a"), (5, e2, "a"), (7, [1.0, 0.01, 0.0], "a"), (9, e2, "b"), (4, [1e300, 1.0, 0.0], "a"), (3, [1e-300, 0.0, 0.0], "b")]
+    got = [tuple(r) for r in embeddings.components(spark.createDataFrame(rows, "vec_id long, embedding array<double>, label string")).collect()]
+    assert sorted(got) == [(3, 0, 3, True), (4, 2, 4, True), (5, 0, 5, True), (5, 2, 4, False), (7, 2, 4, False), (9, 0, 9, True)]
+
+
+def plain_fingerprint(t):
+    ws = re.findall(rb"[^\x20\x09-\x0D]+", re.sub(rb"[A-Z]", lambda m: m[0].lower(), (t or "").encode()))
+    runs = [b" ".join(ws[k : k + 3]) for k in range(max(1, len(ws) - 2))] if ws else []
+    h = [xxhash.xxh64_intdigest(r, 42) for r in runs]
+    return sum(1 << b for b in range(64) if 2 * sum(x >> b & 1 for x in h) > len(h))
+
+
+def classes(links, n):
+    """The smallest place that links reach from each place."""
+    found = list(range(n))
+    for _ in range(n):
+        last = list(found)
+        for i, j in links:
+            found[i] = found[j] = min(found[i], found[j])
+        if last == found:
+            return found
+    return found
 
 
 def test_simhash(spark, docs):
-    got = [(r["doc_id"], r["fp"] & (1 << 64) - 1, r["component_id"]) for r in simhash.components(docs).collect()]
-    ids, fps = [g[0] for g in got], [g[1] for g in got]
-    parent = list(range(len(got)))
-    for _ in got:
-        for i in range(len(got)):
-            for j in range(len(got)):
-                if (fps[i] ^ fps[j]).bit_count() <= 3:
-                    parent[i] = parent[j] = min(parent[i], parent[j])
+    got = [(r["doc_id"], r["fp"] & (1 << 64) - 1, r["component_id"], bytes(r["digest"])) for r in simhash.components(docs).collect()]
+    texts = {hashlib.md5((t or "").encode()).digest(): t for _, t in TEXTS}
+    fps = [plain_fingerprint(texts[g[3]]) for g in got]
+    assert [g[1] for g in got] == fps
+    part = classes([(i, j) for i in range(len(got)) for j in range(i) if (fps[i] ^ fps[j]).bit_count() <= 3], len(got))
     for i in range(len(got)):
-        members = [ids[j] for j in range(len(got)) if parent[j] == parent[i] and ids[j] is not None]
+        members = [got[j][0] for j in range(len(got)) if part[j] == part[i] and got[j][0] is not None]
         assert got[i][2] == (min(members) if members else None)
-    kept = sorted(r["doc_id"] for r in simhash.near_dedup(docs).where("doc_id is not null").collect())
-    assert 1 in kept and 2 not in kept and 3 in kept and 4 not in kept and len(kept) == len(set(kept))
+    kept = sorted((r["doc_id"], r["text"] or "") for r in simhash.near_dedup(docs).where("doc_id is not null").collect())
+    assert [k for k, _ in kept] == [1, 3, 6, 7, 8, 8, 9, 10, 11] and {t for k, t in kept if k == 8} == {t for k, t in TEXTS if k == 8}
+    assert simhash.near_dedup(docs).where("doc_id is null").count() == 1 and simhash.near_dedup(docs.limit(0)).count() == 0
+
+
+def test_simhash_repeated_keys(spark):
+    """Texts of one key are documents of their own; a repeated row counts once; columns may have any names."""
+    a, b, c = "one two three four", "quite another text of words", "and a third one that differs"
+    rows = [(3, a), (8, a), (8, b), (8, b), (5, c), (None, a)]
+    docs = spark.createDataFrame([(i, t, i, "x") for i, t in rows], "doc_id long, text string, fp long, digest string")
+    got = sorted((r["doc_id"] or 0, r["text"]) for r in simhash.near_dedup(docs).collect())
+    assert got == [(0, a), (3, a), (5, c), (8, b)] and simhash.near_dedup(docs).columns == docs.columns
+
+
+@pytest.mark.parametrize("radius", [1, 2, 3, 4])
+def test_simhash_links(spark, radius):
+    """Planted pairs of 1 to 5 bits, and chains: links are within the radius, and reach all that all pairs reach."""
+    rng, fps = np.random.default_rng(radius), set()
+    for base in rng.integers(0, 1 << 63, 60, dtype=np.uint64).tolist():
+        fps.add(base)
+        x = base
+        for d in (1, 2, 3, 4, 5):
+            for bits in (rng.choice(64, d, replace=False), rng.choice(32, d, replace=False), 32 + rng.choice(32, d, replace=False)):
+                fps.add(base ^ sum(1 << int(b) for b in bits))
+            x ^= 1 << int(rng.integers(64))
+            fps.add(x)
+    fps = sorted(fps)
+    table = spark.createDataFrame([(f - (1 << 64) if f >> 63 else f,) for f in fps], "fp long")
+    got = [(r["a"] & (1 << 64) - 1, r["b"] & (1 << 64) - 1) for r in simhash.links(table, radius).collect()]
+    assert all(0 < (a ^ b).bit_count() <= radius for a, b in got)
+    at = {f: i for i, f in enumerate(fps)}
+    want = classes([(i, j) for i in range(len(fps)) for j in range(i) if (fps[i] ^ fps[j]).bit_count() <= radius], len(fps))
+    assert classes([(at[a], at[b]) for a, b in got], len(fps)) == want
+
+
+def test_simhash_large_group(spark, monkeypatch):
+    """All variants of a half in one group, compared in several passes, give what one pass gives."""
+    fps = np.unique(np.random.default_rng(3).integers(0, 1 << 12, 1500)).astype(np.int64)
+    key = np.zeros(len(fps), np.int64) + 1  # the upper half, which is zero
+    whole = simhash.meetings(key, fps, 3)
+    monkeypatch.setattr(simhash, "SLAB", 10_000)
+    assert len(whole) and (simhash.meetings(key, fps, 3) == whole).all()
 
 
 def test_wrappers(spark):
@@ -150,31 +270,79 @@ def test_wrappers_drop_fixed_texts(spark):
     assert len(paths) == 1
 
 
-def test_packing(spark, docs):
+@pytest.fixture(scope="module")
+def spec():
+    return open(P.path("word_bpe_49k.json")).read()
+
+
+def test_word_tokenizer(spec):
+    """Words one by one, in any company, have the ids that the tokenizer itself gives."""
     from tokenizers import Tokenizer
 
-    spec = open(P.path("word_bpe_49k.json")).read()
-    model = Tokenizer.from_str(spec)
-    model.encode_special_tokens = True
-    rows = packing.pack(docs.where("doc_id is not null and text is distinct from 'mail again'"), spec).collect()
+    plain, own, rnd = Tokenizer.from_str(spec), packing.WordTokenizer(spec), random.Random(4)
+    parts = [*"aXTJWhy İıßéÉŉǰΑΆσς1²½٣一한ㅎ\u00a0\u200b\u2003\x85\x1c\t\n.,;:!?#%$*&|)'’<>", "\u030c", "\u0308", "\u0331", "<|endoftext|>", "<|ENDOFTEXT|>", "<|startoftext|>", "'s", "'LL", "J\u030c.", "aX&İ#%", "été;", "Don't."]
+    texts = ["".join(rnd.choice(parts) if rnd.random() < 0.85 else chr(rnd.choice([rnd.randint(1, 0x24F), rnd.randint(0x300, 0x370), rnd.randint(0x370, 0x2FFF), rnd.randint(0xFB00, 0xFDFF)])) for _ in range(rnd.randint(0, 20))) for _ in range(6000)]
+    for k in range(0, len(texts), 300):
+        for t, ids in zip(texts[k : k + 300], own.encode(texts[k : k + 300])):
+            assert np.frombuffer(ids, "<u4").tolist() == plain.encode(t, add_special_tokens=False).ids, t
+
+
+def check_packed(rows, want, size=2048):
+    """Pieces of each document follow one another and hold its ids; sequences have no gaps and but one is nearly empty."""
     by, seq = {}, {}
     for r in rows:
-        by.setdefault(r["doc_id"], []).append(r)
+        by.setdefault((r["doc_id"], r["doc_tokens"]), []).append(r)
         seq.setdefault(r["sequence_id"], []).append(r)
-    for i, t in TEXTS:
-        if i is not None and t != "mail again":
-            ids, at = np.array([*model.encode(t or "", add_special_tokens=False).ids, 1], "<u4"), 0
-            for r in sorted(by[i], key=lambda r: r["start"]):
-                assert r["start"] == at and r["ids_crc32"] == zlib.crc32(ids[at : at + r["length"]].tobytes()) and r["doc_tokens"] == len(ids)
+    found = Counter()
+    for key, pieces in by.items():
+        for ids in (w for w in want[key[0]] if len(w) == key[1]):
+            at = 0
+            while at < len(ids):
+                r = next((r for r in pieces if r["start"] == at and r["ids_crc32"] == zlib.crc32(ids[at : at + r["length"]].tobytes())), None)
+                assert r is not None, key
+                pieces.remove(r)
                 at += r["length"]
             assert at == len(ids)
+            found[key[0]] += 1
+        assert not pieces
+    assert found == Counter({k: len(v) for k, v in want.items()})
+    fill = []
     for pieces in seq.values():
         at = 0
         for r in sorted(pieces, key=lambda r: r["offset"]):
             assert r["offset"] == at
             at += r["length"]
-        assert at <= 2048
+        assert 0 < at <= size
+        fill.append(at)
+    return fill
+
+
+def test_packing(spark, docs, spec):
+    """Null and repeated ids, null and empty texts, each row once."""
+    from tokenizers import Tokenizer
+
+    model, want = Tokenizer.from_str(spec), {}
+    for i, t in TEXTS:
+        want.setdefault(i, []).append(np.array([*model.encode(t or "", add_special_tokens=False).ids, 1], "<u4"))
+    fill = check_packed(packing.pack(docs, spec).collect(), want)
+    assert sorted(fill)[1:] == [2048] * (len(fill) - 1)
+    extra = docs.select("doc_id", "text", F.lit(1).alias("part"), F.lit(2).alias("open"))
+    check_packed(packing.pack(extra, spec).collect(), want)
     assert packing.pack(docs.limit(0), spec).count() == 0
+    ids = packing.pack(docs.where("doc_id = 7"), spec, with_ids=True).collect()
+    assert b"".join(bytes(r["ids"]) for r in sorted(ids, key=lambda r: r["start"])) == want[7][0].tobytes()
+
+
+def test_packing_many(spark, spec):
+    """Many documents over many partitions: two rounds of merging, little padding."""
+    from tokenizers import Tokenizer
+
+    model, rnd = Tokenizer.from_str(spec), random.Random(6)
+    rows = [(i, " ".join(rnd.choices(["alpha", "beta", "tokenization", "ça", "über!"], k=int(rnd.paretovariate(1) * 30) % 4000))) for i in range(700)]
+    want = {i: [np.array([*model.encode(t, add_special_tokens=False).ids, 1], "<u4")] for i, t in rows}
+    got = packing.pack(spark.createDataFrame(rows, "doc_id long, text string").repartition(40), spec).collect()
+    fill = check_packed(got, want)
+    assert sum(fill) / (2048 * len(fill)) > 0.97
 
 
 def test_pii(spark, docs):
