@@ -28,3 +28,9 @@ def checkpoint(df: DataFrame) -> DataFrame:
     if sc.getCheckpointDir() is None:
         sc.setCheckpointDir(shared_dir(df.sparkSession))
     return df.checkpoint(eager=True)
+
+
+def remove(spark: SparkSession, uri: str) -> None:
+    """Delete a folder with all it holds."""
+    path = spark._jvm.org.apache.hadoop.fs.Path(uri)
+    path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)
