@@ -2,13 +2,14 @@
 
 from __future__ import annotations
 
-import tempfile
 from collections.abc import Iterator
 
 import numpy as np
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from chronolex.sources.storage import checkpoint  # noqa: F401
+
 #: ASCII white space, the separator of words in all contracts: space and \x09-\x0D.
 SPACE = r"[\x20\x09-\x0D]"
 
@@ -18,29 +19,6 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
-def shared_dir(spark: SparkSession) -> str:
-    """The folder that driver and executors share: ``spark.checkpoint.dir``.
-
-    Only where that setting is absent, as in tests in local mode, a temporary folder serves.
-    """
-    sc = spark.sparkContext
-    shared = spark.conf.get("spark.checkpoint.dir", None) or sc.getConf().get("spark.checkpoint.dir", None)
-    if shared is None:
-        if not sc.master.startswith("local"):
-            raise ValueError("spark.checkpoint.dir is not set on this cluster")
-        shared = tempfile.mkdtemp(prefix="chronolex-")
-        spark.conf.set("spark.checkpoint.dir", shared)
-    return shared
-
-
-def checkpoint(df: DataFrame) -> DataFrame:
-    """Cut the lineage with a reliable checkpoint in the shared folder."""
-    sc = df.sparkSession.sparkContext
-    if sc.getCheckpointDir() is None:
-        sc.setCheckpointDir(shared_dir(df.sparkSession))
-    return df.checkpoint(eager=True)
-
-
 #: Bytes of a table, reckoned from its own rows, up to which it is broadcast; beyond, it is joined by a shuffle.
 BROADCAST_BYTES = 16_000_000
 

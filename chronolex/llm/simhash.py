@@ -9,7 +9,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from chronolex.llm.common import checkpoint, connected_components, release, slices, small
+from chronolex.llm.common import batched, checkpoint, connected_components, release, slices, small
 
 #: Variants that a task compares at a time.
 SLAB = 4_000_000
@@ -53,7 +53,7 @@ def fingerprints(df: DataFrame, text: str = "text", out: str = "fp") -> DataFram
         finally:
             release()
 
-    return df.mapInArrow(run, T.StructType([*df.schema.fields, T.StructField(out, T.LongType())]))
+    return batched(df).mapInArrow(run, T.StructType([*df.schema.fields, T.StructField(out, T.LongType())]))
 
 
 def balls(radius: int, bits: int = 32) -> list[np.ndarray]:
