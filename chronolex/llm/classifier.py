@@ -10,7 +10,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from chronolex.llm.common import batched, release, slices
+from chronolex.llm.common import batched, portions, release, slices
 
 #: Buckets of the feature hash (a power of two); bucket 0 is the bias.
 BUCKETS = 1 << 18
@@ -108,8 +108,8 @@ def train(docs: DataFrame, labels: DataFrame, text: str = "text", label: str = "
 
     def hashed(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for whole in batches:
-            for k in range(0, len(whole), CHUNK):
-                batch = whole.iloc[k : k + CHUNK]
+            for k, end in portions(whole["text"].str.len().to_numpy(), CHUNK):
+                batch = whole.iloc[k:end]
                 row, bucket, value = features(batch["text"].tolist())
                 ends = np.searchsorted(row, np.arange(len(batch) + 1))
                 cut = lambda x, t: [x[a:b].astype(t).tobytes() for a, b in zip(ends, ends[1:])]

@@ -28,17 +28,23 @@ def small(df: DataFrame, row_bytes: int) -> DataFrame:
     return F.broadcast(df) if df.count() * row_bytes <= BROADCAST_BYTES else df
 
 
+def portions(sizes: np.ndarray, rows: int = 256, size: int = 4_000_000) -> Iterator[tuple[int, int]]:
+    """Stretches (first, end) of rows of these sizes: so many rows, and together of such a size, at most; a larger row is alone."""
+    ends = np.cumsum(np.asarray(sizes, np.int64))
+    k = 0
+    while k < len(ends):
+        n = max(1, min(rows, int(np.searchsorted(ends, (ends[k - 1] if k else 0) + size, "right")) - k))
+        yield k, min(k + n, len(ends))
+        k += n
+
+
 def slices(batch, at: int, rows: int = 256, size: int = 4_000_000) -> Iterator:
     """Slices of an Arrow batch of so many rows and bytes of its text column ``at`` at most; a longer text is alone."""
     import pyarrow.compute as pc
 
-    ends = np.cumsum(pc.fill_null(pc.binary_length(batch.column(at)), 0).to_numpy(zero_copy_only=False).astype(np.int64))
-    k = 0
-    while k < batch.num_rows:
-        n = int(np.searchsorted(ends, (ends[k - 1] if k else 0) + size, "right")) - k
-        n = max(1, min(rows, n))
-        yield batch.slice(k, n)
-        k += n
+    sizes = pc.fill_null(pc.binary_length(batch.column(at)), 0).to_numpy(zero_copy_only=False)
+    for a, b in portions(sizes, rows, size):
+        yield batch.slice(a, b - a)
 
 
 #: Rows of whole texts that go to a Python worker at a time; Spark's default of 10,000 may be a hundred MB and more.

@@ -9,7 +9,7 @@ import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from chronolex.llm.common import batched, slices
+from chronolex.llm.common import batched, portions, slices
 
 #: Components of a hypervector; letters of an n-gram are three.
 DIM = 512
@@ -91,8 +91,8 @@ def train(df: DataFrame, text: str = "text", lang: str = "lang") -> dict[str, np
     def part(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         total: dict[str, np.ndarray] = {}
         for whole in batches:
-            for k in range(0, len(whole), CHUNK):
-                batch = whole.iloc[k : k + CHUNK]
+            for k, end in portions(whole["text"].str.len().to_numpy(), CHUNK):
+                batch = whole.iloc[k:end]
                 vec, has = bundles(batch["text"].tolist())
                 vec = vec / np.maximum(np.linalg.norm(vec, axis=1, keepdims=True), 1e-9)
                 langs = batch["lang"].to_numpy()

@@ -13,10 +13,10 @@ import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from chronolex.llm.common import batched, checkpoint
+from chronolex.llm.common import batched, checkpoint, portions, release
 
 #: Words that a Python worker remembers with their ids, and the longest that it remembers.
-MEMO_WORDS, MEMO_CHARS = 400_000, 64
+MEMO_WORDS, MEMO_STEMS, MEMO_CHARS = 600_000, 200_000, 64
 CHUNK = 256
 #: Closing marks that are cut from words.
 MARKS = b".,;:!?#%$*&|)"
@@ -42,23 +42,21 @@ class WordTokenizer:
         self.closes = np.zeros(max(self.model.get_vocab().values()) + 1, bool)
         self.closes[[i for t, i in self.model.get_vocab().items() if t.endswith(end)]] = True
         self.memo: dict[bytes, bytes] = {}
-        self.stems: dict[bytes, bytes] = {}
+        self.stems: dict[bytes, bytes] = {b"": b""}
 
     def _ids(self, parts: list[bytes]) -> None:
         """Learn the ids of parts. Those of letters alone are one word each, so many are encoded as one text and told apart by
         the tokens that end a word."""
-        text = [w.decode() for w in parts]
-        letters = [t for t in text if t.isalpha()]
-        coded = self.model.encode(" ".join(letters), add_special_tokens=False).ids if letters else []
-        ids = np.array(coded, "<u4")
-        ends = np.flatnonzero(self.closes[ids]) + 1
-        if len(ends) == len(letters):
-            raw = ids.tobytes()
-            stops = (4 * ends).tolist()
-            self.stems.update(zip([t.encode() for t in letters], map(raw.__getitem__, map(slice, [0, *stops], stops))))
-            text = [t for t in text if not t.isalpha()]
-        for t, x in zip(text, self.model.encode_batch_fast(text, add_special_tokens=False)):
-            self.stems[t.encode()] = np.array(x.ids, "<u4").tobytes()
+        plain = [p for p in parts if p.isalpha() or not p.isascii() and p.decode().isalpha()]
+        if plain:
+            ids = np.array(self.model.encode_batch_fast([b" ".join(plain).decode()], add_special_tokens=False)[0].ids, "<u4")
+            ends = 4 * (np.flatnonzero(self.closes[ids]) + 1)
+            if len(ends) == len(plain):
+                raw, stops = ids.tobytes(), ends.tolist()
+                self.stems.update((p, raw[x:y]) for p, x, y in zip(plain, [0, *stops], stops))
+                parts = list(set(parts).difference(plain))
+        for p, x in zip(parts, self.model.encode_batch_fast([p.decode() for p in parts], add_special_tokens=False)):
+            self.stems[p] = np.array(x.ids, "<u4").tobytes()
 
     def _learn(self, new: list[bytes]) -> dict[bytes, bytes]:
         """Ids of words, each cut into a stem and closing marks, where a cut between tokens is sure.
@@ -68,22 +66,20 @@ class WordTokenizer:
         """
         cut = []
         for w in new:
-            stem = w.rstrip(MARKS)
-            if len(stem) < len(w) and stem and (stem[-1:].isalnum() or len(stem) > 1 and stem[-2] == 0xC3 and stem[-1] not in (0x97, 0xB7)):
-                cut.append((stem, w[len(stem) :]))
-            else:
-                cut.append((w, b""))
-        parts = {p for pair in cut for p in pair}
-        parts.discard(b"")
-        if len(self.stems) > MEMO_WORDS:
-            self.stems = {}
-        self._ids([p for p in parts if p not in self.stems])
+            s = w.rstrip(MARKS)
+            sure = len(s) < len(w) and (s[-1:].isalnum() or len(s) > 1 and s[-2] == 0xC3 and s[-1] not in (0x97, 0xB7))
+            cut.append(s if sure else w)
+        if len(self.stems) > MEMO_STEMS:
+            self.stems = {b"": b""}
         stems = self.stems
-        stems[b""] = b""
-        learnt = {w: stems[a] + stems[b] for w, (a, b) in zip(new, cut)}
-        for p in parts:
+        need = set(cut)
+        need.update(w[len(s) :] for w, s in zip(new, cut) if len(s) < len(w))
+        need.difference_update(stems)
+        self._ids(list(need))
+        learnt = {w: stems[s] if len(s) == len(w) else stems[s] + stems[w[len(s) :]] for w, s in zip(new, cut)}
+        for p in need:
             if len(p) > MEMO_CHARS:
-                stems.pop(p, None)
+                del stems[p]
         return learnt
 
     @staticmethod
@@ -95,7 +91,7 @@ class WordTokenizer:
     def encode(self, texts: list[str]) -> list[bytes]:
         lists = [self._words(t.encode()) for t in texts]
         memo = self.memo
-        new = [w for w in set().union(*lists) if w not in memo]
+        new = list(set().union(*lists).difference(memo))
         if new:
             memo.update(self._learn(new))
         out = [b"".join(map(memo.__getitem__, ws)) for ws in lists]
@@ -221,14 +217,15 @@ def pack(
         part = TaskContext.get().partitionId()
         packer, coder = Packer(size, open_windows, min_cut), _get(shared)
         for whole in batches:
-            for k in range(0, len(whole), CHUNK):
-                batch = whole.iloc[k : k + CHUNK]
+            for k, stop in portions(whole["text"].str.len().fillna(0).to_numpy(), CHUNK):
+                batch = whole.iloc[k:stop]
                 texts = [t if isinstance(t, str) else "" for t in batch["text"]]
                 for doc, ids in zip(batch["doc_id"].tolist(), coder.encode(texts)):
                     ids += end
                     packer.add((None if pd.isna(doc) else int(doc), 0, len(ids) // 4, len(ids) // 4, ids))
                 yield _frame(_rows(packer.drain(), part << 24, False, with_ids, True)).assign(part=part)
         yield _frame(_rows(packer.leftovers(), part << 24, True, with_ids, True)).assign(part=part)
+        release()  # the words learnt stay for the worker's next task
 
     def again(level: int, last: bool) -> Callable:
         def merge(pdf: pd.DataFrame) -> pd.DataFrame:
