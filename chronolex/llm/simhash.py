@@ -12,7 +12,7 @@ from pyspark.sql import types as T
 from chronolex.llm.common import batched, checkpoint, connected_components, release, slices, small
 
 #: Variants that a task compares at a time.
-SLAB = 4_000_000
+SLAB = 1_000_000
 SHINGLE, SEED = 3, 42
 
 
@@ -106,7 +106,7 @@ def meetings(key: np.ndarray, fp: np.ndarray, radius: int) -> np.ndarray:
                     continue
                 v = (free[own][:, None] ^ m).ravel()
                 w = np.repeat(own, len(m))
-                f = (np.bitwise_count(m)[None, :] + flipped[own][:, None]).ravel()
+                f = (np.bitwise_count(m)[None, :] + flipped[own].astype(np.uint8)[:, None]).ravel()
                 if passes > 1:
                     mine = (v * np.uint64(0x9E3779B97F4A7C15) >> np.uint64(40)) % np.uint64(passes) == p
                     v, w, f = v[mine], w[mine], f[mine]
