@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import re
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -12,7 +14,7 @@ NOT_SPACE = r"[^\x20\x09-\x0D]"
 SYMBOLS, BLANKS = "#*$%&|<>", " \t\n\x0b\x0c\r"
 #: What separates the entries of a navigation line.
 SEPARATORS = ["|", ">", "»", "›", "•", "·", "/", "::"]
-#: Phrases of boilerplate lines, in lower case.
+#: Phrases of boilerplate lines in English, German, French and Spanish, in lower case.
 BOILERPLATE = [
     "accept cookies",
     "all rights reserved",
@@ -29,6 +31,16 @@ BOILERPLATE = [
     "terms of service",
     "terms of use",
     "we use cookies",
+    "alle rechte vorbehalten",
+    "cookies akzeptieren",
+    "newsletter abonnieren",
+    "wir verwenden cookies",
+    "accepter les cookies",
+    "mentions légales",
+    "tous droits réservés",
+    "aceptar cookies",
+    "aviso legal",
+    "todos los derechos reservados",
 ]
 #: A line fails if over one in so many of its characters in words is a symbol.
 SYMBOL_SHARE = 10
@@ -38,53 +50,76 @@ LONG_LINE = 12
 MAX_LOST = 0.4
 
 
-def _without(text: Column, chars: str) -> Column:
-    return F.translate(text, chars, "")
-
-
 def _chars(text: Column) -> Column:
     """Code points in words."""
-    return F.length(_without(text, BLANKS))
+    return F.length(F.regexp_replace(text, SPACE + "+", ""))
+
+
+def _any(chars: str) -> str:
+    """The class of these characters."""
+    return "[" + re.sub(r"([\]\\^&-])", r"\\\1", chars) + "]"
 
 
 def _count(text: Column, chars: str) -> Column:
-    return F.length(text) - F.length(_without(text, chars))
+    """How many of these characters a text has (a pattern is several times as fast as a translation)."""
+    return F.length(text) - F.length(F.regexp_replace(text, _any(chars), ""))
 
 
 def repeated_words(w: Column) -> Column:
     """Words of the list that lie in a three-word window found twice or more, the first included.
 
-    Windows are compared by their 64-bit hashes. Sorted with their places, equal ones are neighbours; each
-    covers three words less those that the next one covers.
+    A window is one long: the upper bits of its hash and its place in the lower ones, as many as the places need. Sorted, as plain
+    numbers, windows with one hash are neighbours, which are then compared by their words. Each of those found covers three
+    words less those that the next one covers.
     """
-    windows = F.transform(
-        F.sequence(F.lit(0), F.size(w) - 3),
-        lambda i: F.struct(F.xxhash64(F.get(w, i), F.get(w, i + 1), F.get(w, i + 2)).alias("h"), i.alias("i")),
-    )
+    places = F.sequence(F.lit(0), F.size(w) - 3)
+
+    def found(bits: Column) -> Column:
+        packed = F.transform(places, lambda i: F.call_function("shiftleft", F.xxhash64(F.get(w, i), F.get(w, i + 1), F.get(w, i + 2)), bits).bitwiseOR(i.cast("long")))
+        mask = F.call_function("shiftleft", F.lit(1).cast("long"), bits) - 1
+
+        def same(x: Column, y: Column) -> Column:
+            # Most neighbours differ in their hashes, so words are seldom looked at.
+            p, q = x.bitwiseAND(mask).cast("int"), y.bitwiseAND(mask).cast("int")
+            equal = (F.get(w, p) == F.get(w, q)) & (F.get(w, p + 1) == F.get(w, q + 1)) & (F.get(w, p + 2) == F.get(w, q + 2))
+            return F.coalesce((x.bitwiseXOR(y) <= mask) & (x.bitwiseXOR(y) >= 0) & equal, F.lit(False))
 
-    def twice(s: Column) -> Column:
-        same = F.filter(s, lambda x, k: F.coalesce(F.get(s, k - 1)["h"] == x["h"], F.lit(False)) | F.coalesce(F.get(s, k + 1)["h"] == x["h"], F.lit(False)))
-        return F.sort_array(F.transform(same, lambda x: x["i"]))
+        def twice(s: Column) -> Column:
+            both = F.filter(s, lambda x, k: same(x, F.get(s, k - 1)) | same(x, F.get(s, k + 1)))
+            return F.sort_array(F.transform(both, lambda x: x.bitwiseAND(mask)))
+
+        return let(F.sort_array(packed), twice)
 
     def covered(p: Column) -> Column:
-        return F.aggregate(F.transform(p, lambda x, k: F.least(F.lit(3), F.coalesce(F.get(p, k + 1) - x, F.lit(3)))), F.lit(0), lambda a, x: a + x)
+        return F.aggregate(F.transform(p, lambda x, k: F.least(F.lit(3).cast("long"), F.coalesce(F.get(p, k + 1) - x, F.lit(3).cast("long")))), F.lit(0).cast("long"), lambda a, x: a + x)
 
-    return F.when(F.size(w) < 4, 0).otherwise(let(F.sort_array(windows), lambda s: let(twice(s), covered)))
+    bits = F.length(F.bin(F.size(w).cast("long")))
+    return F.when(F.size(w) < 4, F.lit(0).cast("long")).otherwise(let(let(bits, found), covered))
 
 
 def line_passes(line: Column) -> Column:
-    """The rules for a line with a word: punctuation, navigation, boilerplate."""
-    lower = F.lower(line)
-    n = F.size(F.split(F.btrim(line, F.lit(BLANKS)), SPACE + "+"))
-    separators = F.size(F.filter(F.split(line, SPACE + "+"), lambda x: x.isin(SEPARATORS)))
-    symbols = _count(line, SYMBOLS) * SYMBOL_SHARE > _chars(line)
-    shouts = _count(line, "!?") > n
-    bare = (n >= LONG_LINE) & (_count(line, ".,;:!?…。、，؟।\"'»)-") == 0)
-    navigation = (separators >= 3) & (separators * 5 >= n)
-    phrase = F.lit(False)
-    for p in BOILERPLATE:
-        phrase |= F.contains(lower, F.lit(p))
-    return ~(symbols | shouts | bare | navigation | phrase)
+    """The rules for a line with a word: punctuation, navigation, boilerplate.
+
+    What costs more is reckoned only for lines that hold a character of the kind.
+    """
+    ws = F.split(F.btrim(line, F.lit(BLANKS)), SPACE + "+")
+    symbols = line.rlike(_any(SYMBOLS)) & (_count(line, SYMBOLS) * SYMBOL_SHARE > _chars(line))
+    shouts = line.rlike("[!?]") & (_count(line, "!?") > F.size(ws))
+    bare = ~line.rlike(_any(".,;:!?…。、，؟।\"'»)-")) & (F.size(ws) >= LONG_LINE)
+
+    def listed(w: Column) -> Column:
+        separators = F.size(F.filter(w, lambda x: x.isin(SEPARATORS)))
+        return (separators >= 3) & (separators * 5 >= F.size(w))
+
+    navigation = line.rlike("|".join(map(re.escape, SEPARATORS))) & let(ws, listed)
+
+    def phrase(lower: Column) -> Column:
+        out = F.lit(False)
+        for p in BOILERPLATE:
+            out |= F.contains(lower, F.lit(p))
+        return out
+
+    return ~(symbols | shouts | bare | navigation | let(F.lower(line), phrase))
 
 
 def assess(df: DataFrame, text: str = "text") -> DataFrame:
@@ -120,7 +155,7 @@ def assess(df: DataFrame, text: str = "text") -> DataFrame:
 
 
 #: The same in SQL for DuckDB. Symbols and blanks are spelled out.
-SQL = r"""
+_SQL = r"""
 WITH d AS (
   SELECT row_number() OVER () AS r, doc_id, coalesce(text, '') AS t FROM documents
 ), w AS (
@@ -150,12 +185,7 @@ WITH d AS (
          symbols * 10 > chars OR marks > len(ws) OR (len(ws) >= 12 AND punctuation = 0)
          OR (len(list_filter(ws, lambda x: x IN ('|', '>', '»', '›', '•', '·', '/', '::'))) >= 3
              AND len(list_filter(ws, lambda x: x IN ('|', '>', '»', '›', '•', '·', '/', '::'))) * 5 >= len(ws))
-         OR contains(low, 'accept cookies') OR contains(low, 'all rights reserved') OR contains(low, 'click here to')
-         OR contains(low, 'cookie policy') OR contains(low, 'enable javascript') OR contains(low, 'javascript is disabled')
-         OR contains(low, 'licensed under the') OR contains(low, 'lorem ipsum') OR contains(low, 'privacy policy')
-         OR contains(low, 'sign up for our newsletter') OR contains(low, 'skip to content')
-         OR contains(low, 'subscribe to our newsletter') OR contains(low, 'terms of service') OR contains(low, 'terms of use')
-         OR contains(low, 'we use cookies') AS bad
+         OR {phrases} AS bad
   FROM judged
 ), v AS (
   SELECT r, count(*) - count(DISTINCT line) AS n_dup_lines, coalesce(sum(chars) FILTER (WHERE bad), 0) AS lost FROM verdict GROUP BY r
@@ -171,3 +201,4 @@ SELECT doc_id, n_words::BIGINT AS n_words, word_chars::BIGINT AS word_chars, n_s
        NOT (n_words < 50 OR 100 * n_repeat_words > 50 * n_words) AND lost <= 0.4 * word_chars AS kept
 FROM a
 """
+SQL = _SQL.replace("{phrases}", " OR ".join(f"contains(low, '{p}')" for p in BOILERPLATE))
