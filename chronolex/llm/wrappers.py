@@ -5,7 +5,6 @@ from __future__ import annotations
 import html
 import json
 import re
-from collections import Counter
 from collections.abc import Iterator
 
 import pandas as pd
@@ -21,8 +20,6 @@ CHUNK = 256
 SALTS = 64
 #: A text is a host's own, not an article's, if it stands at the same path on more than half of its pages and on so many at least.
 FIXED_PAGES = 3
-#: Distinct texts of hosts that a task counts before it sends them on.
-COUNTED = 500_000
 #: Bytes of all hosts' decisions up to which they are broadcast; beyond, they are joined by host.
 BROADCAST_BYTES = 8_000_000
 #: Elements of HTML by kind.
@@ -169,17 +166,17 @@ def text_key(path: str, text: str) -> int:
     return xxhash.xxh64_intdigest(f"{path}\0{text.strip()}") >> 1 or 1
 
 
-def text_keys(node: Node, path: str = "") -> set[int]:
-    """The keys of a page's texts, without what is never part of an article, and of its ids."""
-    out: set[int] = set()
+def text_keys(node: Node, path: str = "") -> dict[int, int]:
+    """The keys of a page's texts with their lengths, without what is never part of an article, and of its ids."""
+    out: dict[int, int] = {}
     for k in node.kids:
         if isinstance(k, Node):
             if k.id:
-                out.add(text_key("#", k.id))
+                out.setdefault(text_key("#", k.id), 0)
             if not k.beside:
                 out |= text_keys(k, f"{path}/{k.plain}")
         elif k.strip():
-            out.add(text_key(path, k))
+            out[text_key(path, k)] = len(k)
     return out
 
 
@@ -331,23 +328,21 @@ def host_of(url: str):
 
 
 def fixed_texts(df: DataFrame, url: str = "url", page: str = "html") -> DataFrame:
-    """Rows (host, fixed): the keys of the texts on most pages of a host, no more than two pages' worth."""
+    """Rows (host, fixed): the keys of the texts on most pages of a host, no more than two pages' worth.
 
-    def count(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        found: Counter = Counter()
+    Pages with the same longest text are copies of one article, exact or near, and count once: what only they share is the article's.
+    """
+
+    def keys(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for pdf in batches:
-            for host, text in zip(pdf["host"], pdf["html"]):
-                found.update((host, k) for k in text_keys(parse(text)))
-                found[host, 0] += 1
-                if len(found) > COUNTED:
-                    yield pd.DataFrame([(*k, n) for k, n in found.items()], columns=["host", "key", "n"])
-                    found.clear()
-        yield pd.DataFrame([(*k, n) for k, n in found.items()], columns=["host", "key", "n"])
+            found = [text_keys(parse(t)) for t in pdf["html"]]
+            longest = [max(f, key=lambda k: (f[k], k), default=0) for f in found]  # noqa: B023
+            yield pd.DataFrame({"host": pdf["host"], "longest": longest, "keys": [sorted({0, *f}) for f in found]})
 
     pages = df.where(F.col(page).isNotNull()).select(host_of(url).alias("host"), F.col(page).alias("html"))
-    total = batched(pages).mapInPandas(count, "host string, key long, n long").groupBy("host", "key").agg(F.sum("n").alias("n"))
-    # A row that can't be most of the pages of a host needs no join; key 0 has the number of pages.
-    often = total.where(F.col("n") >= FIXED_PAGES)
+    each = batched(pages).mapInPandas(keys, "host string, longest long, keys array<long>").groupBy("host", "longest").agg(F.min("keys").alias("keys"))
+    # Key 0 has the number of pages. A row that can't be most of the pages of a host needs no join.
+    often = each.select("host", F.explode("keys").alias("key")).groupBy("host", "key").agg(F.count("*").alias("n")).where(F.col("n") >= FIXED_PAGES)
     keyed = often.groupBy("host").agg(F.max(F.when(F.col("key") == 0, F.col("n"))).alias("pages")).where("pages is not null")
     most = often.where("key <> 0").join(keyed, "host").where(2 * F.col("n") > F.col("pages"))
     return most.groupBy("host").agg(F.sort_array(F.collect_list("key")).alias("fixed"))

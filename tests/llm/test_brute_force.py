@@ -187,6 +187,15 @@ def test_wrappers_of_several_hosts(spark):
     assert got == want
 
 
+def test_wrappers_near_copies(spark):
+    """Near copies of one article on most pages of a host keep the paragraphs that they share; what all pages share goes."""
+    page = lambda a, b: f"<div class=mid><p>All about this host</p><h1>{a} title</h1><p>The long first paragraph of {a}, which has many words</p><p>{b}</p></div>"
+    rows = [(i, f"http://h.org/{i}", page("copy", f"change {i}")) for i in range(6)] + [(9 + i, f"http://h.org/{i}", page(f"other{i}", f"x{i}")) for i in range(4)]
+    got = {r["page_id"]: r["text"] for r in wrappers.extract(spark.createDataFrame(rows, "page_id long, url string, html string")).collect()}
+    want = lambda a, b: f"{a} title\nThe long first paragraph of {a}, which has many words\n{b}"
+    assert got == {i: want("copy", f"change {i}") for i in range(6)} | {9 + i: want(f"other{i}", f"x{i}") for i in range(4)}
+
+
 def test_wrappers_edges(spark):
     """Deep pages, open quotes, repeated rows, long pages, odd columns and an empty table."""
     deep = "<article><h1>T</h1>" + "<div>" * 1200 + "<p>deep text</p><nav>menu</nav>more" + "</div>" * 1200 + "<p>after</p></article><footer>f</footer>"
