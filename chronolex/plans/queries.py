@@ -12,6 +12,7 @@ from chronolex.functions import topics as proportions
 from chronolex.operators import assign, describe, docfreq, eligible, labels, lda, sample, vocab
 from chronolex.plans import testdata as td
 from chronolex.sources import readers
+from chronolex.sources.storage import checkpoint
 
 QUERIES: dict = {}
 
@@ -492,7 +493,7 @@ def label_summary(spark: SparkSession, d: str) -> DataFrame:
 
 def _model_inputs(spark: SparkSession, d: str) -> list[tuple]:
     """The language, the vectors of its texts and its whole vocabulary, for each language with eligible texts."""
-    texts = _eligible(spark, d).select("ci_id", "lang", "lemmas").persist()
+    texts = checkpoint(_eligible(spark, d).select("ci_id", "lang", "lemmas"))
     words: dict[str, list[str]] = {}
     for r in vocabulary(spark, d).orderBy("lang", "lemma").collect():
         words.setdefault(r["lang"], []).append(r["lemma"])
