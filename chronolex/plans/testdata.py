@@ -8,6 +8,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from chronolex.sources.storage import spread
+
 #: Limits for these small tables: frequency, length, tokens, distinct lemmas, tokens again; document frequency.
 MIN_FREQ, MAX_FREQ, MIN_LENGTH = 3, 100_000, 3
 LIMITS = (8, 5, 1500)
@@ -57,7 +59,7 @@ def corpus(spark: SparkSession, d: str, keep: tuple = ()) -> DataFrame:
         none = F.lit(None).cast("array<struct<t:string,p:string,l:string>>")
         return F.struct(F.col("lang").alias("lg"), F.transform(words, token).alias("tok"), none.alias("tokens"))
 
-    docs = table(spark, d, "documents").select("doc_id", "lang", ci_id(F.col("doc_id"), F.col("source")).alias("ci_id"), F.split(F.coalesce("text", F.lit("")), "\n").alias("lines"))
+    docs = spread(table(spark, d, "documents")).select("doc_id", "lang", ci_id(F.col("doc_id"), F.col("source")).alias("ci_id"), F.split(F.coalesce("text", F.lit("")), "\n").alias("lines"))
     return docs.select(
         *keep,
         "ci_id",

@@ -34,3 +34,13 @@ def remove(spark: SparkSession, uri: str) -> None:
     """Delete a folder with all it holds."""
     path = spark._jvm.org.apache.hadoop.fs.Path(uri)
     path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)
+
+
+def spread(df: DataFrame, most: int = 64 << 20) -> DataFrame:
+    """A small table over all cores; one of more bytes than ``most`` stays as it is.
+
+    A small file may be a single row group and so a single task's, while what follows (tokens, hashes) takes long for each byte.
+    """
+    size = int(str(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()))
+    cores = df.sparkSession.sparkContext.defaultParallelism
+    return df.repartition(cores) if size <= most and df.rdd.getNumPartitions() < 2 * cores else df
