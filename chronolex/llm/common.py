@@ -8,15 +8,15 @@ import numpy as np
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from chronolex.sources.storage import checkpoint  # noqa: F401
+from chronolex.sources.storage import checkpoint, spread  # noqa: F401
 
 #: ASCII white space, the separator of words in all contracts: space and \x09-\x0D.
 SPACE = r"[\x20\x09-\x0D]"
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    """A table of the data set, read by Spark only, so that any Hadoop path works."""
-    return spark.read.parquet(f"{sf_dir}/{name}.parquet")
+    """A table of the data set, read by Spark only, so that any Hadoop path works; a small one is spread over all cores."""
+    return spread(spark.read.parquet(f"{sf_dir}/{name}.parquet"))
 
 
 #: Bytes of a table, reckoned from its own rows, up to which it is broadcast; beyond, it is joined by a shuffle.
