@@ -188,13 +188,16 @@ def components(df: DataFrame, radius: int = 3, text: str = "text", key: str = "d
     """
     docs = df.select(F.col(key).alias("key"), F.col(text).alias("text"), _digest(F.col(text)).alias("digest"))
     docs = checkpoint(fingerprints(docs).drop("text"))
-    nodes = checkpoint(docs.groupBy("fp").agg(F.min("key").alias("least")))
-    parts = connected_components(links(nodes.select("fp"), radius))
-    named = parts.join(nodes.withColumnRenamed("fp", "node"), "node")
-    named = named.join(named.groupBy("component").agg(F.min("least").alias("component_id")), "component")
-    merged = nodes.join(named.select(F.col("node").alias("fp"), "component_id", "component"), "fp", "left")
-    merged = merged.select("fp", F.coalesce("component_id", "least").alias("component_id"), F.coalesce("component", "fp").alias("component"))
-    return docs.join(merged, "fp").select(F.col("key").alias(key), "fp", "digest", "component", "component_id")
+    nodes = checkpoint(docs.groupBy("fp").agg(F.min("key").alias("least"), F.count("*").alias("n")))
+    parts = connected_components(links(nodes.select("fp"), radius)).withColumnRenamed("node", "fp")
+    named = checkpoint(parts.join(nodes, "fp").select("fp", "component", "least"))
+    named = named.join(named.groupBy("component").agg(F.min("least").alias("component_id")), "component").select("fp", "component", "component_id")
+    # Only fingerprints of several rows or with links need be looked up; a checkpoint of these on one side lets Spark split a hot one on the other.
+    known = nodes.join(named, "fp", "left").where((F.col("n") > 1) | F.col("component").isNotNull())
+    known = checkpoint(known.select("fp", F.coalesce("component_id", "least").alias("component_id"), F.coalesce("component", "fp").alias("component"), F.lit(True).alias("shared")))
+    out = docs.join(small(known, 40), "fp", "left")
+    own = F.when(F.col("shared"), F.col("component_id")).otherwise(F.col("key"))
+    return out.select(F.col("key").alias(key), "fp", "digest", F.coalesce("component", "fp").alias("component"), own.alias("component_id"))
 
 
 def near_dedup(df: DataFrame, radius: int = 3, text: str = "text", key: str = "doc_id") -> DataFrame:
@@ -207,8 +210,8 @@ def near_dedup(df: DataFrame, radius: int = 3, text: str = "text", key: str = "d
     rows = df.select(*[F.col(f"`{n}`").alias(c) for n, c in own.items()])
     found = components(df.where(F.col(key).isNotNull()).select(F.col(key).alias("doc_id"), F.col(text).alias("text")), radius)
     each = checkpoint(found.groupBy("doc_id", "digest", "component").agg(F.count("*").alias("n")))
-    kept = each.groupBy("component").agg(F.min(F.struct("doc_id", "digest")).alias("kept"))
-    drop = each.join(kept, "component").where(F.struct("doc_id", "digest") != F.col("kept")).select("doc_id", "digest")
+    kept = each.groupBy("component").agg(F.min(F.struct("doc_id", "digest")).alias("kept"), F.count("*").alias("rows")).where("rows > 1").drop("rows")
+    drop = each.join(small(checkpoint(kept), 48), "component").where(F.struct("doc_id", "digest") != F.col("kept")).select("doc_id", "digest")
     rows = rows.withColumns({"doc_id": F.col(own[key]), "digest": _digest(F.col(own[text]))})
     out = rows.where("doc_id is not null").join(small(checkpoint(drop), 32), ["doc_id", "digest"], "left_anti")
     if not each.where("n > 1").isEmpty():
