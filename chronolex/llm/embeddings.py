@@ -77,6 +77,22 @@ def cells_within(x: np.ndarray, edges: list[np.ndarray], budget: float) -> tuple
     return row, cell, order == 0
 
 
+def _unite(root: np.ndarray, p: np.ndarray, q: np.ndarray) -> None:
+    """Join the classes of each pair (p, q); root holds the smallest place of each place's class."""
+    while True:
+        x, y = root[p], root[q]
+        apart = x != y
+        if not apart.any():
+            return
+        p, q = p[apart], q[apart]
+        np.minimum.at(root, np.maximum(x, y)[apart], np.minimum(x, y)[apart])
+        while True:
+            up = root[root]
+            if np.array_equal(up, root):
+                break
+            root[:] = up
+
+
 def links(df: DataFrame, least: float = 0.93, blocks: int = BLOCKS) -> DataFrame:
     """Rows (id, n, other) for vectors of one label with a cosine of ``least`` or more; df: id, weight, label, embedding (all of one length).
 
@@ -84,8 +100,9 @@ def links(df: DataFrame, least: float = 0.93, blocks: int = BLOCKS) -> DataFrame
     space it is within that block's share of R. Each block is range-joined: a label's vectors lie in cells of a k-d grid, whose coordinates are halved
     in turn until a cell holds TILE vectors or so; a vector is sent to its own cell and, as a probe, to those behind it whose squared distance, over
     all coordinates of the block, is within the share. There blocks are compared, and full vectors decide. For each cell n adds up the weights of the
-    vectors that are linked to id there, and other is the smallest of these, which suffices for components; so a group of copies costs as many rows as
-    it has vectors.
+    vectors that are linked to id there, and other is the smallest that id reaches there by links, id itself included: these stars have the components
+    of the links, which the smallest neighbours alone don't (of a chain 1, 3, 4, 2 they lose the link from 3 to 4); so a group of copies costs as many
+    rows as it has vectors.
     """
     spark = df.sparkSession
     first = df.select(F.size("embedding").alias("d")).first()
@@ -153,7 +170,7 @@ def links(df: DataFrame, least: float = 0.93, blocks: int = BLOCKS) -> DataFrame
         unit = turned(v)
         right = np.flatnonzero(side == 1)
         left = right if i == -j - 1 else np.flatnonzero(side == 0)
-        n, other = np.zeros(len(ids), np.int64), np.full(len(ids), np.iinfo(np.int64).max)
+        n, root = np.zeros(len(ids), np.int64), np.arange(len(ids))
         for a in range(0, len(left), STEP):
             for b in range(a if left is right else 0, len(right), STEP):
                 x, y = left[a : a + STEP], right[b : b + STEP]
@@ -161,10 +178,9 @@ def links(df: DataFrame, least: float = 0.93, blocks: int = BLOCKS) -> DataFrame
                 p, q = x[p], y[q]
                 np.add.at(n, p, weight[q])
                 np.add.at(n, q, weight[p])
-                np.minimum.at(other, p, ids[q])
-                np.minimum.at(other, q, ids[p])
+                _unite(root, p, q)
         hit = n > 0
-        return pd.DataFrame({"id": ids[hit], "n": n[hit], "other": other[hit]})
+        return pd.DataFrame({"id": ids[hit], "n": n[hit], "other": ids[root[hit]]})
 
     return dealt.groupBy(*by, "i", "j").applyInPandas(meet, "id long, n long, other long")
 
@@ -173,21 +189,21 @@ def components(df: DataFrame, least: float = 0.93, key: str = "vec_id", vector:
     """Per row: key, n_links (other vectors linked directly), component_id (the smallest key in reach) and kept (whether that is its own).
 
     Equal vectors of a label are compared once, with their number as weight. Vectors that are null, empty, zero or hold null or
-    non-finite components, those without a label and those without a key link with nothing; they stay alone. Rows that
-    repeat a key are vectors of their own, with their own links. Vectors of different lengths link with nothing of another length. Components keep
+    non-finite components, and those without a label link with nothing; they stay alone. Rows that
+    repeat a key are vectors of their own, with their own links; so are those without a key, which name no component. Vectors of different lengths link with nothing of another length. Components keep
     the precision that the table has, sums are in double precision.
     """
     kind = "array<float>" if df.schema[vector].dataType.simpleString() == "array<float>" else "array<double>"
     v = F.col(vector).cast(kind)
     good = (F.size(v) > 0) & ~F.exists(v, lambda x: x.isNull() | F.isnan(x) | (F.abs(x) == float("inf"))) & F.exists(v, lambda x: x != 0)
-    fine = F.coalesce(good & F.col(label).isNotNull() & F.col(key).isNotNull(), F.lit(False))
+    fine = F.coalesce(good & F.col(label).isNotNull(), F.lit(False))
     rows = df.select(F.col(key).cast("long").alias("id"), F.when(fine, F.col(label)).alias("label"), F.when(fine, v).alias("embedding"))
     groups = rows.where("embedding is not null").groupBy("label", "embedding").agg(F.min("id").alias("rep"), F.count("*").alias("weight"))
     groups = checkpoint(groups)
-    if groups.groupBy("rep").agg(F.count("*").alias("n")).where("n > 1").isEmpty():
+    if groups.groupBy("rep").agg(F.count("*").alias("n")).where("n > 1 or rep is null").isEmpty():
         groups = groups.withColumn("node", F.col("rep"))
-    else:  # several vectors under one key: numbers in the order of the keys tell them apart
-        groups = checkpoint(groups.orderBy("rep", "label", "embedding").withColumn("node", F.monotonically_increasing_id()))
+    else:  # several vectors under one key or none: numbers in the order of the keys, none last, tell them apart
+        groups = checkpoint(groups.orderBy(F.asc_nulls_last("rep"), "label", "embedding").withColumn("node", F.monotonically_increasing_id()))
     lengths = [r[0] for r in groups.select(F.size("embedding")).distinct().collect()]
     found = None
     for d in sorted(lengths):
@@ -209,5 +225,5 @@ def components(df: DataFrame, least: float = 0.93, key: str = "vec_id", vector:
         F.col("id").alias(key),
         (F.coalesce("weight", F.lit(1)) - 1 + F.coalesce("n", F.lit(0))).cast("long").alias("n_links"),
         component.alias("component_id"),
-        F.coalesce(F.col("id") == component, F.lit(True)).alias("kept"),
+        F.coalesce(F.col("id") == component, component.isNull()).alias("kept"),
     )

@@ -2,6 +2,7 @@
 
 import hashlib
 import json
+import math
 import random
 import re
 import zlib
@@ -179,6 +180,25 @@ def test_embeddings_repeated_keys(spark):
     assert sorted(got) == [(3, 0, 3, True), (4, 2, 4, True), (5, 0, 5, True), (5, 2, 4, False), (7, 2, 4, False), (9, 0, 9, True)]
 
 
+@pytest.mark.parametrize("tile", [4096, 3])
+def test_embeddings_chains(spark, monkeypatch, tile):
+    """Chains whose places follow no order of the ids stay whole: the smallest neighbours alone don't join 3 and 4 of 1, 3, 4, 2."""
+    monkeypatch.setattr(embeddings, "TILE", tile)
+    monkeypatch.setattr(embeddings, "STEP", 4)
+    chains = [[1, 3, 4, 2], [11, 16, 13, 18, 17, 12, 15, 14, 10]]
+    at = lambda k: [math.cos(math.radians(20 * k)), math.sin(math.radians(20 * k))]
+    rows = [(i, at(k), c) for c, chain in enumerate(chains) for k, i in enumerate(chain)]
+    got = {r["vec_id"]: tuple(r)[1:] for r in embeddings.components(spark.createDataFrame(rows, "vec_id long, embedding array<double>, label int")).collect()}
+    assert got == {i: (1 + (0 < k < len(chain) - 1), min(chain), i == min(chain)) for chain in chains for k, i in enumerate(chain)}
+
+
+def test_embeddings_without_key(spark):
+    """Rows without a key are compared as all others, and join what they link."""
+    rows = [(8, [1.0, 0.0], 0), (None, [0.94, 0.342], 0), (3, [0.77, 0.64], 0), (9, [0.0, 1.0], 1), (None, [1.0, 0.0], 1), (None, None, 1)]
+    got = [tuple(r) for r in embeddings.components(spark.createDataFrame(rows, "vec_id long, embedding array<double>, label int")).collect()]
+    assert sorted(got, key=str) == sorted([(8, 1, 3, False), (None, 2, 3, False), (3, 1, 3, True), (9, 0, 9, True), (None, 0, None, True), (None, 0, None, True)], key=str)
+
+
 def plain_fingerprint(t):
     ws = re.findall(rb"[^\x20\x09-\x0D]+", re.sub(rb"[A-Z]", lambda m: m[0].lower(), (t or "").encode()))
     runs = [b" ".join(ws[k : k + 3]) for k in range(max(1, len(ws) - 2))] if ws else []
