@@ -145,6 +145,45 @@ def test_substrings_common_passage(spark, monkeypatch):
     assert all((r["start"], r["end"]) == (60, 115) for r in got)
 
 
+def all_pairs(texts: dict[int, list[str]], n: int = 50, similarity: float = 0.8) -> tuple[dict[int, set[int]], dict[int, set[int]]]:
+    """Words that lie in copies, and words that are copied, by the verified passages of all pairs that share a window."""
+    ids = sorted(texts)
+    own, sig, place = substrings._windows([" ".join(texts[i]) for i in ids], n)
+    shingles = [substrings.grams(substrings.word_hashes(" ".join(texts[i])), substrings.SHINGLE) for i in ids]
+    copies, sources = {}, {}
+    for x, y in itertools.combinations(range(len(ids)), 2):
+        anchors = []
+        for p, q in itertools.product(np.flatnonzero(own == x), np.flatnonzero(own == y)):
+            if sig[p] == sig[q]:
+                (pa, ba, fa), (pb, bb, fb) = ([int(v) for v in substrings._spread(place[k])] for k in (p, q))
+                if min(ba, bb) + min(fa, fb) + 1 >= n - substrings.SHINGLE + 1:
+                    anchors.append((pb, pa, min(ba, bb), min(fa, fb)))
+        for s, e, u, v in substrings._passages(shingles[y], shingles[x], anchors, n, similarity):
+            copies.setdefault(ids[y], set()).update(range(s, e))
+            sources.setdefault(ids[x], set()).update(range(u, v))
+    return copies, sources
+
+
+@pytest.mark.parametrize("chunk", [1])
+def test_substrings_all_partners(spark, monkeypatch, chunk):
+    """A near-duplicate whose first and last partner in each group hold parts of it only, within a chunk and over several, is found, and so is what it copies."""
+    monkeypatch.setattr(substrings, "CHUNK", chunk)
+    own = itertools.count()
+    fill = lambda k: [f"w{next(own)}" for _ in range(k)]
+    texts: dict[int, list[str]] = {}
+    for family in range(6):
+        base = fill(52)
+        parts = lambda k: fill(20) + base[:25] + fill(k) + base[26:] + fill(20)  # noqa: E731, B023
+        for i, t in enumerate([parts(12), fill(30) + base + fill(10), parts(15), parts(1), parts(14), parts(13)]):
+            texts[10 * family + i] = t
+    copies, sources = all_pairs(texts)
+    assert set(copies) == {10 * f + 3 for f in range(6)} and set(sources) == {10 * f + 1 for f in range(6)}
+    got = substrings.repeats(spark.createDataFrame([(i, " ".join(w)) for i, w in texts.items()], "doc_id long, text string").coalesce(2)).collect()
+    assert sorted((r["doc_id"], r["start"], r["end"], r["is_copy"], r["ref_doc_id"]) for r in got) == sorted(
+        [(10 * f + 3, 20, 72, True, 10 * f + 1) for f in range(6)] + [(10 * f + 1, 30, 82, False, 10 * f + 1) for f in range(6)]
+    )
+
+
 def test_compact_windows():
     """Against a plain search for the minima of all runs, over several stretches."""
     h = np.random.default_rng(1).integers(0, 1 << 62, 400).astype(np.uint64)
