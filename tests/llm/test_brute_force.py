@@ -164,7 +164,7 @@ def all_pairs(texts: dict[int, list[str]], n: int = 50, similarity: float = 0.8)
     return copies, sources
 
 
-@pytest.mark.parametrize("chunk", [1])
+@pytest.mark.parametrize("chunk", [2048, 1])
 def test_substrings_all_partners(spark, monkeypatch, chunk):
     """A near-duplicate whose first and last partner in each group hold parts of it only, within a chunk and over several, is found, and so is what it copies."""
     monkeypatch.setattr(substrings, "CHUNK", chunk)
@@ -184,6 +184,32 @@ def test_substrings_all_partners(spark, monkeypatch, chunk):
     )
 
 
+@pytest.mark.parametrize("seed, chunk", [(1, 2048), (2, 3)])
+def test_substrings_variants(spark, monkeypatch, seed, chunk):
+    """Families of variants, each with words changed, lost or added and cut at both ends, against all pairs that share a window."""
+    monkeypatch.setattr(substrings, "CHUNK", chunk)
+    rnd = random.Random(seed)
+    own = itertools.count()
+    fill = lambda k: [f"w{next(own)}" for _ in range(k)]
+    texts, ids = {}, rnd.sample(range(1000), 60)
+    for _ in range(4):
+        base = fill(130)
+        for _ in range(15):
+            words = base[rnd.randint(0, 50) : rnd.randint(80, 130)]
+            for _ in range(rnd.randint(0, 4)):
+                at = rnd.randrange(len(words))
+                words[at : at + rnd.randint(0, 1)] = fill(rnd.choice([0, 1, 1, 12]))
+            texts[ids.pop()] = fill(rnd.randint(0, 30)) + words + fill(rnd.randint(0, 30))
+    copies, sources = all_pairs(texts)
+    found: dict[bool, dict[int, set[int]]] = {True: {}, False: {}}
+    for r in substrings.repeats(spark.createDataFrame([(i, " ".join(w)) for i, w in texts.items()], "doc_id long, text string").coalesce(2)).collect():
+        found[r["is_copy"]].setdefault(r["doc_id"], set()).update(range(r["start"], r["end"]))
+    for i, places in copies.items():
+        assert places <= found[True].get(i, set()), i
+    for i, places in sources.items():
+        assert places <= found[True].get(i, set()) | found[False].get(i, set()), i
+
+
 def test_compact_windows():
     """Against a plain search for the minima of all runs, over several stretches."""
     h = np.random.default_rng(1).integers(0, 1 << 62, 400).astype(np.uint64)
