@@ -184,6 +184,26 @@ def test_substrings_all_partners(spark, monkeypatch, chunk):
     )
 
 
+@pytest.mark.parametrize("block", [1024, 4])
+def test_substrings_blocks(spark, monkeypatch, block):
+    """A large group of variants is settled within blocks of texts and between them, as all pairs do, with no row for a pair."""
+    monkeypatch.setattr(substrings, "BLOCK", block)
+    rnd = random.Random(5)
+    base, own = [f"b{i}" for i in range(90)], itertools.count()
+    texts = {}
+    for i in range(40):
+        words = list(base)
+        for at in rnd.sample(range(90), rnd.randint(3, 6)):
+            words[at] = f"o{next(own)}"
+        texts[i] = words[rnd.randint(0, 20) :]
+    copies, sources = all_pairs(texts)
+    found: dict[bool, dict[int, set[int]]] = {True: {}, False: {}}
+    for r in substrings.repeats(spark.createDataFrame([(i, " ".join(w)) for i, w in texts.items()], "doc_id long, text string").coalesce(2)).collect():
+        found[r["is_copy"]].setdefault(r["doc_id"], set()).update(range(r["start"], r["end"]))
+    assert copies and {i: p - found[True].get(i, set()) for i, p in copies.items()} == {i: set() for i in copies}
+    assert all(p <= found[True].get(i, set()) | found[False].get(i, set()) for i, p in sources.items())
+
+
 @pytest.mark.parametrize("seed, chunk", [(1, 2048), (2, 3)])
 def test_substrings_variants(spark, monkeypatch, seed, chunk):
     """Families of variants, each with words changed, lost or added and cut at both ends, against all pairs that share a window."""
