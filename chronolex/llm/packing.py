@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import bisect
+import itertools
 import json
 import os
 import zlib
@@ -18,6 +19,8 @@ from chronolex.llm.common import batched, checkpoint, portions, release
 #: Words that a Python worker remembers with their ids, and the longest that it remembers.
 MEMO_WORDS, MEMO_STEMS, MEMO_CHARS = 600_000, 200_000, 64
 CHUNK = 256
+#: The pattern of words of a tokenizer that keeps letters together.
+LETTERS = r"'s|'t|'re|'ve|'m|'ll|'d|[\p{L}]+|[\p{N}]|[^\s\p{L}\p{N}]+"
 #: Closing marks that are cut from words.
 MARKS = b".,;:!?#%$*&|)"
 #: Partitions whose leftovers one task merges.
@@ -26,6 +29,26 @@ FAN_IN = 32
 PIECES = "doc_id long, start long, length long, ids_crc32 long, doc_tokens long, sequence_id long, offset long"
 
 
+def _is_plain(spec: dict) -> bool:
+    """Whether a word of small ASCII letters alone reaches the model of a tokenizer as it is and in one piece, and nothing is added behind."""
+    steps = [x for x in ((spec.get(k) or {}) for k in ("normalizer", "pre_tokenizer"))]
+    norms, cuts = ([x] if x and x.get("type") != "Sequence" else x.get("normalizers") or x.get("pretokenizers") or [] for x in steps)
+    blank = {"type": "Replace", "pattern": {"Regex": "\\s+"}, "content": " "}
+    return (
+        all(x == blank or x["type"] in ("NFC", "Lowercase") for x in norms)
+        and [x["type"] for x in cuts] == ["Split", "ByteLevel"]
+        and cuts[0]["pattern"].get("Regex") == LETTERS and cuts[0]["behavior"] == "Removed" and cuts[0]["invert"]
+        and not cuts[1]["add_prefix_space"] and not cuts[1]["use_regex"]
+        and not spec.get("post_processor") and not spec["model"].get("dropout")
+        and not any(x["content"].isalpha() for x in spec["added_tokens"])
+    )
+
+
+def _older(memo: dict[bytes, bytes]) -> dict[bytes, bytes]:
+    """The half that was learnt first: frequent words come early, so most of those that come again stay."""
+    return dict(itertools.islice(memo.items(), len(memo) // 2))
+
+
 class WordTokenizer:
     """Token ids (little-endian uint32) of texts, by a tokenizer that drops white space.
 
@@ -38,7 +61,9 @@ class WordTokenizer:
         from tokenizers import Tokenizer
 
         self.model = Tokenizer.from_str(spec)
-        end = json.loads(spec)["model"].get("end_of_word_suffix") or "\0"
+        parts = json.loads(spec)
+        self.direct = _is_plain(parts)
+        end = parts["model"].get("end_of_word_suffix") or "\0"
         self.closes = np.zeros(max(self.model.get_vocab().values()) + 1, bool)
         self.closes[[i for t, i in self.model.get_vocab().items() if t.endswith(end)]] = True
         self.memo: dict[bytes, bytes] = {}
@@ -46,7 +71,17 @@ class WordTokenizer:
 
     def _ids(self, parts: list[bytes]) -> None:
         """Learn the ids of parts. Those of letters alone are one word each, so many are encoded as one text and told apart by
-        the tokens that end a word."""
+        the tokens that end a word; where only the model changes small ASCII letters, it is asked itself."""
+        if self.direct:
+            small = [p for p in parts if p.isascii() and p.isalpha() and p.islower()]
+            if small:
+                split, ids, stops = self.model.model.tokenize, [], []
+                for w in b" ".join(small).decode().split(" "):
+                    ids += [x.id for x in split(w)]
+                    stops.append(4 * len(ids))
+                raw = np.array(ids, "<u4").tobytes()
+                self.stems.update((p, raw[x:y]) for p, x, y in zip(small, [0, *stops], stops))
+                parts = list(set(parts).difference(small))
         plain = [p for p in parts if p.isalpha() or not p.isascii() and p.decode().isalpha()]
         if plain:
             ids = np.array(self.model.encode_batch_fast([b" ".join(plain).decode()], add_special_tokens=False)[0].ids, "<u4")
@@ -70,7 +105,7 @@ class WordTokenizer:
             sure = len(s) < len(w) and (s[-1:].isalnum() or len(s) > 1 and s[-2] == 0xC3 and s[-1] not in (0x97, 0xB7))
             cut.append(s if sure else w)
         if len(self.stems) > MEMO_STEMS:
-            self.stems = {b"": b""}
+            self.stems = _older(self.stems)
         stems = self.stems
         need = set(cut)
         need.update(w[len(s) :] for w, s in zip(new, cut) if len(s) < len(w))
@@ -95,11 +130,11 @@ class WordTokenizer:
         if new:
             memo.update(self._learn(new))
         out = [b"".join(map(memo.__getitem__, ws)) for ws in lists]
-        if len(memo) > MEMO_WORDS:
-            self.memo = {}
         for w in new:
             if len(w) > MEMO_CHARS:
                 memo.pop(w, None)
+        if len(memo) > MEMO_WORDS:
+            self.memo = _older(memo)
         return out
 
 

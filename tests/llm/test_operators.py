@@ -337,6 +337,20 @@ def check_packed(rows, want, size=2048):
     return fill
 
 
+def test_word_tokenizer_memo(spec, monkeypatch):
+    """Words learnt first stay where many are forgotten; words that the model gets directly have the tokenizer's ids."""
+    from tokenizers import Tokenizer
+
+    monkeypatch.setattr(packing, "MEMO_WORDS", 40)
+    monkeypatch.setattr(packing, "MEMO_STEMS", 40)
+    plain, own = Tokenizer.from_str(spec), packing.WordTokenizer(spec)
+    assert own.direct and not packing._is_plain(json.loads(spec) | {"post_processor": {"type": "ByteLevel"}})
+    for k in range(6):
+        texts = ["the of and", " ".join(f"w{chr(97 + k)}{chr(97 + j)}x, Zug{j} na\u00efve don't \u00c9t\u00e9" for j in range(20))]
+        assert [np.frombuffer(x, "<u4").tolist() for x in own.encode(texts)] == [plain.encode(t, add_special_tokens=False).ids for t in texts]
+        assert b"the" in own.memo or k == 0
+
+
 def test_packing(spark, docs, spec):
     """Null and repeated ids, null and empty texts, each row once."""
     from tokenizers import Tokenizer
