@@ -204,6 +204,41 @@ def test_substrings_blocks(spark, monkeypatch, block):
     assert all(p <= found[True].get(i, set()) | found[False].get(i, set()) for i, p in sources.items())
 
 
+def test_substrings_open_texts(spark, monkeypatch):
+    """What may be open is one row for a text, however many of its windows it concerns."""
+    rnd, own, got = random.Random(5), itertools.count(), []
+    base = [f"b{i}" for i in range(90)]
+    rows = [(i, " ".join(f"o{next(own)}" if rnd.random() < 0.05 else w for w in base)) for i in range(40)]
+    plain = substrings.open_places
+    monkeypatch.setattr(substrings, "open_places", lambda *args: got.append(plain(*args)) or got[0])
+    substrings.repeats(spark.createDataFrame(rows, "doc_id long, text string").coalesce(2)).collect()
+    nodes = [r["node"] for r in got[0].collect()]
+    assert nodes and len(nodes) == len(set(nodes))
+
+
+def test_substrings_runs_of_one_word(monkeypatch):
+    """Two texts that repeat one word are verified by a few of their shifts, and not met at all where only their own words are not known."""
+    calls, plain, own = [], substrings._passages, itertools.count()
+    monkeypatch.setattr(substrings, "_passages", lambda *args: calls.append(args) or plain(*args))
+    texts = [["top", "of", "page", "by", "us"] + [f"w{next(own)}" for _ in range(n)] + ["x"] * 600 for n in (57, 90)]
+    of, sig, place = substrings._windows([" ".join(w) for w in texts], 50)
+    a, b = (substrings.grams(substrings.word_hashes(" ".join(w)), substrings.SHINGLE) for w in texts)
+    spans = substrings._meeting(place[of == 1], sig[of == 1], place[of == 0], sig[of == 0], 46)
+    found = substrings._all_passages(b, a, spans, np.zeros(len(texts[1]), bool), np.zeros(len(texts[0]), bool), 50, 0.8)
+    assert len(spans[0]) > 500 and len(calls) <= 20
+    assert set().union(*(range(f[0], f[1]) for f in found)) == set(range(95, 695)) and set().union(*(range(f[2], f[3]) for f in found)) == set(range(62, 662))
+
+    import pyarrow as pa
+    import zstandard
+
+    anchors = [[{"place": p, "sig": s, "open": 3} for p, s in zip(place[of == k].tolist(), sig[of == k].view(np.int64).tolist())] for k in (0, 1)]
+    known = [[{"start": s, "end": s + 600, "is_copy": k > 0}] for k, s in enumerate((62, 95))]
+    packed = [zstandard.ZstdCompressor().compress(" ".join(w).encode()) for w in texts]
+    met, meeting = [], substrings._meeting
+    monkeypatch.setattr(substrings, "_meeting", lambda *args: met.append(args) or meeting(*args))
+    assert substrings._block(pa.table({"node": [1, 2], "side": [0, 0], "text": packed, "anchors": anchors, "spans": known}), 50, 0.8) == [] and not met
+
+
 @pytest.mark.parametrize("seed, chunk", [(1, 2048), (2, 3)])
 def test_substrings_variants(spark, monkeypatch, seed, chunk):
     """Families of variants, each with words changed, lost or added and cut at both ends, against all pairs that share a window."""
