@@ -5,17 +5,13 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from chronolex.operators.vocab import word_counts
 
-def document_frequencies(texts: DataFrame) -> DataFrame:
-    """Per lemma: rows that hold it (a repeated id counts again) and occurrences.
 
-    One row for each occurrence and one for each distinct lemma of a text go into the same partial sums, so there is one
-    shuffle, of at most the vocabulary for each task.
-    """
-    count = lambda d, t: lambda x: F.struct(x.alias("lemma"), F.lit(d).alias("d"), F.lit(t).alias("t"))
-    both = F.concat(F.transform(F.array_distinct("lemmas"), count(1, 0)), F.transform("lemmas", count(0, 1)))
-    rows = texts.select(F.explode(both).alias("x")).select("x.*")
-    return rows.groupBy("lemma").agg(F.sum("d").alias("document_frequency"), F.sum("t").alias("total_frequency"))
+def document_frequencies(texts: DataFrame) -> DataFrame:
+    """Per lemma: rows that hold it (a repeated id counts again) and occurrences, both counted in batches of texts before one shuffle."""
+    counts = word_counts(texts, F.col("lemmas"), (), rows=True)
+    return counts.select(F.col("word").alias("lemma"), F.col("d").alias("document_frequency"), F.col("n").alias("total_frequency"))
 
 
 def rare(freqs: DataFrame, max_df: int) -> DataFrame:

@@ -43,6 +43,39 @@ def test_document_lemmas(spark, docs):
     assert eligible.document_lemmas(docs.limit(0), known.select("raw", "lemma"), raws).count() == 0
 
 
+def test_lemmas_beyond_those_held(spark, monkeypatch):
+    """Whether workers hold all words, the frequent ones or none, texts are the same."""
+    texts = [(f"d{i % 3}", ["fr", "de", None][i % 3], " ".join(f"w{j * j % (i + 2)}" for j in range(i))) for i in range(40)]
+    docs = spark.createDataFrame(texts, "ci_id string, lang string, words string").repartition(3)
+    freqs = vocab.word_frequencies(docs, F.col("words"))
+    known = freqs.select("lang", F.col("word").alias("raw"), "freq", F.when(~F.col("word").endswith("4"), F.upper("word")).alias("lemma"))
+    want = sorted((i, x or "", [w.upper() for w in t.split() if x and not w.endswith("4")]) for i, x, t in texts)
+    for held in (10**6, 9, 0):
+        monkeypatch.setattr(eligible, "HOT", held)
+        for rows, words in ((known, F.col("words")), (known.drop("freq"), F.split("words", " "))):
+            got = eligible.document_lemmas(docs, rows, words, ("ci_id", "lang"), ("lang",)).collect()
+            assert sorted((r["ci_id"], r["lang"] or "", r["lemmas"]) for r in got) == want
+
+
+def test_word_counts(spark, monkeypatch):
+    monkeypatch.setattr(vocab, "HELD", 3)
+    texts = [("fr", ["a", "b", "a", None]), ("fr", ["a", ""]), (None, ["a"]), ("de", []), ("fr", None)] * 20
+    rows = spark.createDataFrame(texts, "lang string, words array<string>").repartition(3)
+    got = {(r["lang"], r["word"]): (r["n"], r["d"]) for r in vocab.word_counts(rows, F.col("words"), rows=True).collect()}
+    assert got == {("fr", "a"): (60, 40), ("fr", "b"): (20, 20), ("fr", None): (20, 20), ("fr", ""): (20, 20), (None, "a"): (20, 20)}
+    assert {tuple(r) for r in vocab.word_frequencies(rows, F.col("words"), ()).collect()} == {("a", 80), ("b", 20)}
+
+
+def test_each_distinct_lemma_is_normalised_once(spark):
+    rows = spark.createDataFrame([("fr", "École", 3)] * 2, "lang string, lemma string, n long")
+    counted = vocab.merge_normalized(vocab.normalize_frequencies(rows.groupBy("lang", "lemma").agg(F.sum("n").alias("freq"))))
+    looked = eligible.lookup(rows.withColumnRenamed("lemma", "raw"), spark.createDataFrame([("fr", "ecole")], "lang string, lemma string"), 3, on=("lang",))
+    for df in (counted, looked):
+        plan = df._jdf.queryExecution().optimizedPlan().toString()
+        assert plan.count("translate(lower(") == 1 and plan.index("translate(lower(") < plan.rindex("Aggregate [")
+    assert [tuple(r) for r in counted.collect()] == [("fr", "ecole", 6)] and [tuple(r) for r in looked.collect()] == [("fr", "École", "ecole")]
+
+
 def test_counters(spark, docs):
     parsed = readers.parse_lingproc(spark.createDataFrame([("",), ("{x",), ('{"ci_id": ""}',), ('{"ci_id": "a"}',)], "value string"))
     judged = eligible.judge(spark.createDataFrame([("a", ["x"] * 9), ("b", ["x", "y"]), ("c", [])], "ci_id string, lemmas array<string>"), 1, 2, 5)
