@@ -173,6 +173,17 @@ def test_topic_models(spark):
     assert all(abs(sum(r["topics"]) - 1) < 1e-9 or sum(r["topics"]) == 0 for r in lda.infer(lda.train(vectors, 2, 5), unseen).collect())
 
 
+def test_large_vocabulary(spark, monkeypatch):
+    """A vocabulary goes to the JVM whole, not word by word, with the places it had."""
+    words = [f"w{i:05d}é" for i in range(20000)] + ["", "two words", "a\nb"]
+    texts = spark.createDataFrame([("d", ["w00003é", "a\nb", "w19999é", "w00003é", "else", "two words", ""])], "ci_id string, lemmas array<string>")
+    monkeypatch.setattr(type(lda.vectorizer(["x"])), "_new_java_array", staticmethod(lambda *a: pytest.fail("word by word")))
+    coder = lda.vectorizer(words)
+    f = coder.transform(texts).first()["features"]
+    assert (f.size, dict(zip(map(int, f.indices), f.values))) == (20003, {3: 2, 19999: 1, 20000: 1, 20001: 1, 20002: 1})
+    assert coder.vocabulary == words
+
+
 def test_stream(spark, tmp_path):
     (tmp_path / "in").mkdir()
     doc = lambda i, *ws: json.dumps({"ci_id": i, "sents": [{"lg": "fr", "tok": [TOKEN(w) for w in ws]}]})
