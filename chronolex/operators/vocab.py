@@ -15,22 +15,28 @@ from chronolex.sources.storage import batched
 HELD = 500_000
 
 
-def word_lists(column):
-    """An Arrow column of arrays of words as it is, one of texts as the words between its blanks (empty ones among them)."""
-    import pyarrow as pa
-    import pyarrow.compute as pc
+def arrow_words() -> tuple:
+    """Two functions over Arrow columns, made here so that they go to the workers with those who use them.
 
-    return pc.split_pattern(column, " ") if pa.types.is_string(column.type) or pa.types.is_large_string(column.type) else column
+    word_lists: a column of arrays of words as it is, one of texts as the words between its blanks (empty ones among them). rows_by: the distinct
+    values of columns, each with the places of its rows.
+    """
+
+    def word_lists(column):
+        import pyarrow as pa
+        import pyarrow.compute as pc
+
+        return pc.split_pattern(column, " ") if pa.types.is_string(column.type) or pa.types.is_large_string(column.type) else column
 
+    def rows_by(columns: list) -> list[tuple]:
+        import numpy as np
 
-def rows_by(columns: list) -> Iterator[tuple]:
-    """The distinct values of Arrow columns, each with the places of its rows."""
-    import numpy as np
+        places: dict[tuple, list[int]] = {}
+        for i, key in enumerate(zip(*[c.to_pylist() for c in columns])):
+            places.setdefault(key, []).append(i)
+        return [(key, np.array(at)) for key, at in places.items()]
 
-    places: dict[tuple, list[int]] = {}
-    for i, key in enumerate(zip(*[c.to_pylist() for c in columns])):
-        places.setdefault(key, []).append(i)
-    yield from ((key, np.array(at)) for key, at in places.items())
+    return word_lists, rows_by
 
 
 def word_counts(docs: DataFrame, words: Column, by: Iterable[str] = ("lang",), rows: bool = False) -> DataFrame:
@@ -39,6 +45,7 @@ def word_counts(docs: DataFrame, words: Column, by: Iterable[str] = ("lang",), r
     Words are counted in batches of columns, so Spark shuffles and adds up a row for each distinct word of a task, not one for each word.
     """
     by, sums = list(by), ["n", *(["d"] if rows else [])]
+    word_lists, rows_by = arrow_words()
     given = docs.select(*by, F.lit(0).alias("_all"), words.alias("_words"))
     schema = StructType([*[given.schema[c] for c in by], StructField("word", StringType()), *[StructField(c, LongType()) for c in sums]])
 
